@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from phonoloom.llm import caps, encoding, incremental, mixing, percentiles, splits
+from phonoloom.llm import caps, encoding, incremental, lookalike, mixing, percentiles, splits, toxicity
 from phonoloom.plans.cluster import shared_dir, table
 
 #: Records an uploader keeps in p7_found.
@@ -52,6 +52,28 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.repeated_records(history, table(spark, sf, "metadata_incoming"))
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalike.not_canonical(table(spark, sf, "metadata_extended"))
+
+
+def p4_canonical(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalike.canonical(table(spark, sf, "metadata_extended"), keep=["item_id"]).select("item_id", "canonical")
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf, "metadata_extended").where("item_id is not null"), table(spark, sf, "content_labels"), spans=False)
+    return scored.where("kind is not null").select("item_id").distinct()
+
+
+def p5_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score(table(spark, sf, "metadata_extended"), table(spark, sf, "content_labels"))
+
+
+def p5_rates(spark: SparkSession, sf: str) -> DataFrame:
+    records = table(spark, sf, "metadata_extended")
+    return toxicity.rates(records, toxicity.score(records, table(spark, sf, "content_labels"), spans=False), ["uploader", "platform", "content_category"])
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return caps.beyond_cap(table(spark, sf, "metadata"), KEEP, caps.handle())
 
@@ -85,6 +107,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_by_day": _p2(["day"]),
         "p2_summary": p2_summary,
         "p3_found": p3_found,
+        "p4_found": p4_found,
+        "p4_canonical": p4_canonical,
+        "p5_found": p5_found,
+        "p5_scores": p5_scores,
+        "p5_rates": p5_rates,
         "p7_found": p7_found,
         "p8_ids": p8_ids,
         "p8_round_trip": p8_round_trip,
