@@ -29,8 +29,9 @@ def linked_records(df: DataFrame, item_id: str = "item_id", address: str = "sour
     Null ids are no records and give no row. Repeated rows count once. The link graph holds keys, not records:
     only records that name two different keys add an edge.
     """
-    keyed = with_video_keys(df.select(F.col(item_id).alias("item_id"), F.col(address).alias("_address")).where("item_id is not null"), "item_id", "_address").select("item_id", "id_key", "address_key").distinct()
-    keyed = keyed.where("id_key is not null or address_key is not null")
+    keyed = with_video_keys(df.select(F.col(item_id).alias("item_id"), F.col(address).alias("_address")).where("item_id is not null"), "item_id", "_address")
+    # parsed once: a filter on parsed columns would be planned below the projection and parse again
+    keyed = stored(keyed.select("item_id", "id_key", "address_key"), "p1-keyed").where("id_key is not null or address_key is not null")
     items = keyed.groupBy("item_id").agg(F.min(F.least("id_key", "address_key")).alias("home"))
     # the rows of one id name one key, unless the id says nothing or takes its platform from the address
     loose = ~F.lower("item_id").rlike(r"^\s*(tt|fb)_(\d{19}|\d{15})(_\d+)?\s*$")
