@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from phonoloom.llm import caps, encoding, incremental, lookalike, mixing, percentiles, splits, toxicity
+from phonoloom.llm import caps, encoding, incremental, lookalike, mixing, neardup, percentiles, splits, toxicity
 from phonoloom.plans.cluster import shared_dir, table
 
 #: Records an uploader keeps in p7_found.
@@ -74,6 +74,14 @@ def p5_rates(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.rates(records, toxicity.score(records, table(spark, sf, "content_labels"), spans=False), ["uploader", "platform", "content_category"])
 
 
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.near_copies(table(spark, sf, "metadata_extended"))
+
+
+def p6_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.copy_groups(table(spark, sf, "metadata_extended"))
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return caps.beyond_cap(table(spark, sf, "metadata"), KEEP, caps.handle())
 
@@ -112,6 +120,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_found": p5_found,
         "p5_scores": p5_scores,
         "p5_rates": p5_rates,
+        "p6_found": p6_found,
+        "p6_groups": p6_groups,
         "p7_found": p7_found,
         "p8_ids": p8_ids,
         "p8_round_trip": p8_round_trip,
@@ -193,6 +203,14 @@ best AS (SELECT item_id, handle, max(snr) AS snr FROM one GROUP BY ALL)
 SELECT item_id FROM (SELECT item_id, row_number() OVER (PARTITION BY handle ORDER BY snr DESC NULLS LAST, item_id) AS rn FROM best) WHERE rn > {KEEP}"""
 
 
+_P6 = """WITH t AS (SELECT DISTINCT item_id, transcript_raw FROM metadata_extended WHERE item_id IS NOT NULL AND transcript_raw IS NOT NULL),
+w AS (SELECT item_id, regexp_extract_all(lower(transcript_raw), '[\\p{L}\\p{M}\\p{N}]+') AS ws FROM t),
+g AS (SELECT DISTINCT item_id, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram FROM w, unnest(range(1, len(ws) - 1)) AS r(i) WHERE len(ws) >= 40),
+n AS (SELECT item_id, count(*) AS n FROM g GROUP BY item_id),
+p AS (SELECT a.item_id AS x, b.item_id AS y, count(*) AS o FROM g a JOIN g b ON a.gram = b.gram AND a.item_id < b.item_id GROUP BY ALL)
+SELECT x AS item_id_a, y AS item_id_b FROM p JOIN n nx ON nx.item_id = x JOIN n ny ON ny.item_id = y WHERE o >= 0.6 * (nx.n + ny.n - o) - 1e-9"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": _P1,
@@ -200,6 +218,7 @@ def oracle_sql() -> dict[str, str]:
         "p2_by_model": _p2_sql("separation_model"),
         "p2_by_day": _p2_sql("day"),
         "p3_found": _P3,
+        "p6_found": _P6,
         "p7_found": _P7,
         "p8_round_trip": "SELECT doc_id, true AS same FROM documents",
     }
