@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from phonoloom.llm import caps, encoding, incremental, lookalike, mixing, neardup, percentiles, splits, toxicity
+from phonoloom.llm import caps, encoding, incremental, lookalike, mixing, neardup, percentiles, pii, splits, toxicity
 from phonoloom.plans.cluster import shared_dir, table
 
 #: Records an uploader keeps in p7_found.
@@ -105,6 +105,14 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[1]
 
 
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.find(table(spark, sf, "documents")).select("doc_id", "pii_kind", "start_char")
+
+
+def p10_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.redact(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -127,6 +135,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p8_round_trip": p8_round_trip,
         "p9_mix": p9_mix,
         "p9_shares": p9_shares,
+        "p10_found": p10_found,
+        "p10_redacted": p10_redacted,
     }
 
 
