@@ -26,9 +26,10 @@ from phonoloom.plans.cluster import stored
 
 WORD = re.compile(r"[^\W_]+")
 #: Counters of neighbour pairs, of one byte. Too few only cost look-ups, never a pair.
-COUNTERS, SLICES = 1 << 25, 256
+COUNTERS, SLICES = 1 << 24, 256
 #: Groups of equal sets are written out in all pairs up to this many pairs; larger ones as pairs with their smallest.
 EXPAND = 4096
+BITS = ("bits0", "bits1", "bits2", "bits3")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -93,13 +94,11 @@ class Sets:
         return pair[same], self.owner[1:][same]
 
     def bitmaps(self) -> np.ndarray:
-        """128 bits a set (two numbers): a bit for each n-gram. Two sets differ in at least as many n-grams as bits."""
-        out = np.zeros((len(self.sizes), 2), dtype=np.uint64)
-        bit = (self.grams >> np.uint64(20)) & np.uint64(127)
-        for half in (0, 1):
-            at = (bit >> np.uint64(6)) == half
-            np.bitwise_or.at(out[:, half], self.owner[at], np.uint64(1) << (bit[at] & np.uint64(63)))
-        return out.view(np.int64)
+        """256 bits a set (four numbers): a bit for each n-gram. Two sets differ in at least as many n-grams as bits."""
+        bit = (self.grams >> np.uint64(20)) & np.uint64(255)
+        flags = np.zeros((len(self.sizes), 256), dtype=np.uint8)
+        flags[self.owner, bit.astype(np.int64)] = 1
+        return np.packbits(flags, axis=1, bitorder="little").view(np.int64)
 
 
 def _parsed(batch: pa.RecordBatch, column: int, n: int, least: int, numbers: dict, seen: set) -> tuple[Sets, np.ndarray, np.ndarray]:
@@ -202,14 +201,16 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
                 pair, owner = pair[order], owner[order]
             bits = sets.bitmaps()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[owner]), pa.array(sets.sizes[owner].astype(np.int32)), pa.array(bits[owner, 0]), pa.array(bits[owner, 1]), pa.array(pair.view(np.int64))],
-                names=["set_id", "size", "bits0", "bits1", "sign"],
+                [pa.array(ids[owner]), pa.array(sets.sizes[owner].astype(np.int32)), *[pa.array(bits[owner, k]) for k in range(4)], pa.array(pair.view(np.int64))],
+                names=["set_id", "size", *BITS, "sign"],
             )
 
-    signs = rows.select(text).mapInArrow(look_ups, "set_id bigint, size int, bits0 bigint, bits1 bigint, sign bigint").repartition("sign")
+    # wider partitions than usual: rows of one set that travel together are compressed together
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    signs = rows.select(text).mapInArrow(look_ups, "set_id bigint, size int, bits0 bigint, bits1 bigint, bits2 bigint, bits3 bigint, sign bigint").repartition(parts, "sign")
     t = threshold
     a, b = signs.alias("a"), signs.alias("b")
-    strangers = F.bit_count(F.col("a.bits0").bitwiseXOR(F.col("b.bits0"))) + F.bit_count(F.col("a.bits1").bitwiseXOR(F.col("b.bits1")))
+    strangers = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in BITS), F.lit(0))
     meet = (
         (F.col("a.sign") == F.col("b.sign"))
         & (F.col("a.set_id") < F.col("b.set_id"))
