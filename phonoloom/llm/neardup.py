@@ -26,10 +26,13 @@ from phonoloom.plans.cluster import stored
 
 WORD = re.compile(r"[^\W_]+")
 #: Counters of neighbour pairs, of one byte. Too few only cost look-ups, never a pair.
-COUNTERS, SLICES = 1 << 24, 256
+COUNTERS, SLICES = 1 << 26, 256
 #: Groups of equal sets are written out in all pairs up to this many pairs; larger ones as pairs with their smallest.
 EXPAND = 4096
-BITS = ("bits0", "bits1", "bits2", "bits3")
+BITS = ("bits0", "bits1", "bits2")
+#: Bits of an n-gram's hash. Texts of an Arrow batch are numbered in the other 20.
+GRAM_BITS = np.uint64(44)
+GRAM_MASK = (np.uint64(1) << GRAM_BITS) - np.uint64(1)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -51,26 +54,23 @@ class Sets:
                 rows.append(row)
         if len(numbers) > 500_000:
             numbers.clear()
-        codes = np.empty(len(words), dtype=np.uint64)
-        for k, w in enumerate(words):
-            c = numbers.get(w)
-            if c is None:
-                c = numbers[w] = xxhash.xxh3_64_intdigest(w)
-            codes[k] = c
+        for w in set(words).difference(numbers):
+            numbers[w] = xxhash.xxh3_64_intdigest(w)
+        codes = np.fromiter(map(numbers.__getitem__, words), dtype=np.uint64, count=len(words))
         self.rows = np.array(rows, dtype=np.int64)
-        owner = np.repeat(np.arange(len(lengths)), lengths)
+        owner = np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths)
         with np.errstate(over="ignore"):
             g = np.zeros(max(len(codes) - n + 1, 0), dtype=np.uint64)
             for k in range(n):
                 g = _mix(g * _M1 + codes[k : len(codes) - n + 1 + k])
         if len(g):
             inside = owner[: len(g)] == owner[n - 1 :]
-            g, who = g[inside], owner[: len(g)][inside]
-            order = np.lexsort((g, who))
-            g, who = g[order], who[order]
-            new = np.ones(len(g), dtype=bool)
-            new[1:] = (g[1:] != g[:-1]) | (who[1:] != who[:-1])
-            self.grams, self.owner = g[new], who[new]
+            # text and n-gram in one number, so that a plain sort orders both
+            key = np.sort((owner[: len(g)][inside] << GRAM_BITS) | (g[inside] >> (np.uint64(64) - GRAM_BITS)))
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = key[1:] != key[:-1]
+            key = key[new]
+            self.grams, self.owner = key & GRAM_MASK, (key >> GRAM_BITS).astype(np.int64)
         else:
             self.grams, self.owner = g, np.zeros(0, dtype=np.int64)
         self.sizes = np.bincount(self.owner, minlength=len(lengths)).astype(np.int64)
@@ -94,10 +94,9 @@ class Sets:
         return pair[same], self.owner[1:][same]
 
     def bitmaps(self) -> np.ndarray:
-        """256 bits a set (four numbers): a bit for each n-gram. Two sets differ in at least as many n-grams as bits."""
-        bit = (self.grams >> np.uint64(20)) & np.uint64(255)
-        flags = np.zeros((len(self.sizes), 256), dtype=np.uint8)
-        flags[self.owner, bit.astype(np.int64)] = 1
+        """192 bits a set (three numbers): a bit for each n-gram. Two sets differ in at least as many n-grams as bits."""
+        flags = np.zeros((len(self.sizes), 192), dtype=np.uint8)
+        flags[self.owner, (self.grams % np.uint64(192)).astype(np.int64)] = 1
         return np.packbits(flags, axis=1, bitorder="little").view(np.int64)
 
 
@@ -183,31 +182,32 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
             pair, owner = sets.neighbours()
             use = fresh[owner]
             pair, owner = pair[use], owner[use]
-            rarity = counts[((pair >> np.uint64(12)) % np.uint64(COUNTERS)).astype(np.int64)]
-            order = np.lexsort((pair, rarity, owner))
-            pair, owner, rarity = pair[order], owner[order], rarity[order]
+            rarity = counts[((pair >> np.uint64(12)) % np.uint64(COUNTERS)).astype(np.int64)].astype(np.uint64)
+            # set, rarity and 36 bits of the pair in one number; the last two are the sign that is looked up
+            ordered = np.sort((owner.astype(np.uint64) << GRAM_BITS) | (rarity << np.uint64(36)) | (pair >> np.uint64(28)))
+            owner, pair = (ordered >> GRAM_BITS).astype(np.int64), ordered & GRAM_MASK
             per = np.bincount(owner, minlength=len(ids))
             rank = np.arange(len(pair)) - np.repeat(np.cumsum(per) - per, per)
             certain = _least_shared(sets.sizes.astype(float), threshold)
-            keep = (rank < (per - np.maximum(certain, 1) + 1)[owner]) & (rarity > 1)
+            keep = (rank < (per - np.maximum(certain, 1) + 1)[owner]) & (pair >> np.uint64(36) > 1)
             pair, owner = pair[keep], owner[keep]
             # sets too small to be certain of a shared pair are looked up by their n-grams as well
             small = fresh & (sets.sizes <= _small(threshold))
             if small.any():
                 own = small[sets.owner]
-                extra, who = sets.grams[own], sets.owner[own]
+                extra, who = sets.grams[own] | (np.uint64(1) << np.uint64(60)), sets.owner[own]
                 pair, owner = np.concatenate([pair, extra]), np.concatenate([owner, who])
                 order = np.argsort(owner, kind="stable")
                 pair, owner = pair[order], owner[order]
             bits = sets.bitmaps()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[owner]), pa.array(sets.sizes[owner].astype(np.int32)), *[pa.array(bits[owner, k]) for k in range(4)], pa.array(pair.view(np.int64))],
+                [pa.array(ids[owner]), pa.array(sets.sizes[owner].astype(np.int32)), *[pa.array(bits[owner, k]) for k in range(len(BITS))], pa.array(pair.view(np.int64))],
                 names=["set_id", "size", *BITS, "sign"],
             )
 
     # wider partitions than usual: rows of one set that travel together are compressed together
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
-    signs = rows.select(text).mapInArrow(look_ups, "set_id bigint, size int, bits0 bigint, bits1 bigint, bits2 bigint, bits3 bigint, sign bigint").repartition(parts, "sign")
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    signs = rows.select(text).mapInArrow(look_ups, "set_id bigint, size int, bits0 bigint, bits1 bigint, bits2 bigint, sign bigint").repartition(parts, "sign")
     t = threshold
     a, b = signs.alias("a"), signs.alias("b")
     strangers = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in BITS), F.lit(0))
