@@ -1 +1 @@
-"""functions of the engine."""
+"""Column expressions: ids, dates, text, lexicons, signals, classifiers."""

@@ -1 +1 @@
-"""streaming of the engine."""
+"""Streams: windows over event time, deduplication with state, incremental funnels."""
