@@ -48,7 +48,7 @@ def phrase_score(prepared: Column, lexicon: list[tuple[str, float]], cap: int =
     """
     phrases = F.array(*[F.struct(F.lit(f" {p.replace(' ', '  ')} ").alias("k"), F.lit(float(w)).alias("w")) for p, w in lexicon])
     times = lambda p: F.least(F.lit(cap), F.floor((F.length(prepared) - F.length(F.replace(prepared, p["k"], F.lit("")))) / F.length(p["k"])))
-    return F.coalesce(F.aggregate(phrases, F.lit(0.0), lambda s, p: s + p["w"] * times(p)), F.lit(0.0))
+    return F.when(prepared.isNull(), F.lit(0.0)).otherwise(F.aggregate(phrases, F.lit(0.0), lambda s, p: s + p["w"] * times(p)))
 
 
 def worded(text: Column) -> Column:

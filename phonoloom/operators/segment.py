@@ -41,7 +41,7 @@ def greedy_split(total: Column, mids: Column, least: float, most: float) -> Colu
         cur, out = s["cur"], s["out"]
         rest = t - cur
         ahead = F.filter(mids, lambda m: (m >= cur + least) & (m <= cur + most))
-        cut = F.coalesce(F.element_at(ahead, -1), cur + most)
+        cut = F.coalesce(F.try_element_at(ahead, F.lit(-1)), cur + most)
         last = F.when(rest >= least, F.concat(out, piece(cur, t))).otherwise(out)
         return F.when(s["over"], s).when(rest <= most, F.struct(cur.alias("cur"), last.alias("out"), F.lit(True).alias("over"))).otherwise(F.struct(cut.alias("cur"), F.concat(out, piece(cur, cut)).alias("out"), F.lit(False).alias("over")))
 
