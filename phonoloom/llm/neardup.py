@@ -29,6 +29,8 @@ WORD = re.compile(r"[^\W_]+")
 COUNTERS, SLICES = 1 << 26, 256
 #: Groups of equal sets are written out in all pairs up to this many pairs; larger ones as pairs with their smallest.
 EXPAND = 4096
+#: Keys that are sent to every task at most, some 30 MB.
+BROADCAST_KEYS = 400_000
 BITS = ("bits0", "bits1", "bits2")
 #: Bits of an n-gram's hash. Texts of an Arrow batch are numbered in the other 20.
 GRAM_BITS = np.uint64(44)
@@ -135,6 +137,19 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
     kind = rows.schema[key].dataType.simpleString()
     width = COUNTERS // SLICES
 
+    def packed(part: np.ndarray) -> bytes | None:
+        """A slice's counters above zero: steps from one to the next, and counts."""
+        at = np.flatnonzero(part)
+        steps = np.diff(at, prepend=0).astype("<u4").tobytes()
+        return zlib.compress(np.frombuffer(steps, np.uint8).reshape(-1, 4).T.tobytes() + part[at].tobytes(), 1) if len(at) else None
+
+    def unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(places, counts) of a packed slice."""
+        data = np.frombuffer(zlib.decompress(raw), np.uint8)
+        n = len(data) // 5
+        steps = np.ascontiguousarray(data[: 4 * n].reshape(4, n).T).view("<u4").ravel()
+        return np.cumsum(steps.astype(np.int64)), data[4 * n :]
+
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, numbers, seen = np.zeros(COUNTERS, dtype=np.uint8), {}, set()
         names, any_row = [key, "set_id", "slice", "counts"], False
@@ -151,9 +166,9 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
         if any_row:
             kinds = keys.type
             for k in range(SLICES):
-                part = counts[k * width : (k + 1) * width]
-                if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=names)
+                raw = packed(counts[k * width : (k + 1) * width])
+                if raw:
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([raw], pa.binary())], names=names)
 
     seen_once = stored(rows.mapInArrow(survey, f"`{key}` {kind}, set_id bigint, slice int, counts binary"), "p6-survey")
     members = seen_once.where("slice is null").select(key, "set_id").distinct()
@@ -162,10 +177,11 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(zlib.decompress(raw), dtype=np.uint8).astype(np.uint16)
-                sums[k] = np.minimum(sums[k] + part, 255) if k in sums else part
+                at, n_ = unpacked(raw)
+                part = sums.setdefault(k, np.zeros(width, dtype=np.uint8))
+                part[at] = np.minimum(part[at].astype(np.uint16) + n_, 255).astype(np.uint8)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(s.astype(np.uint8).tobytes(), 1) for s in sums.values()], pa.binary())], names=["slice", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([packed(s) for s in sums.values()], pa.binary())], names=["slice", "counts"])
 
     # a table of fixed size, whatever the input
     slices = seen_once.where("slice is not null").select("slice", "counts").repartition("slice").mapInArrow(add, "slice int, counts binary").collect()
@@ -174,7 +190,8 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
     def look_ups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, numbers, seen = np.zeros(COUNTERS, dtype=np.uint8), {}, set()
         for k, raw in held.value.items():
-            counts[k * width : (k + 1) * width] = np.frombuffer(zlib.decompress(raw), dtype=np.uint8)
+            at, n_ = unpacked(raw)
+            counts[k * width + at] = n_
         for batch in batches:
             sets, ids, fresh = _parsed(batch, 0, n, least_words, numbers, seen)
             if not len(ids):
@@ -205,9 +222,7 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
                 names=["set_id", "size", *BITS, "sign"],
             )
 
-    # wider partitions than usual: rows of one set that travel together are compressed together
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-    signs = rows.select(text).mapInArrow(look_ups, "set_id bigint, size int, bits0 bigint, bits1 bigint, bits2 bigint, sign bigint").repartition(parts, "sign")
+    signs = rows.select(text).mapInArrow(look_ups, "set_id bigint, size int, bits0 bigint, bits1 bigint, bits2 bigint, sign bigint")
     t = threshold
     a, b = signs.alias("a"), signs.alias("b")
     strangers = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in BITS), F.lit(0))
@@ -218,10 +233,19 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
         & (F.col("a.size") >= F.col("b.size") * F.lit(t) - F.lit(1e-6))
         & (F.col("b.size") >= F.col("a.size") * F.lit(t) - F.lit(1e-6))
     )
-    candidates = stored(a.join(b, meet).select(F.col("a.set_id").alias("set_a"), F.col("b.set_id").alias("set_b")).distinct(), "p6-candidates")
+    # wider partitions than usual: rows of one set that travel together are compressed together
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(1, int(usual) // 2)))
+    try:
+        candidates = stored(a.join(b, meet).select(F.col("a.set_id").alias("set_a"), F.col("b.set_id").alias("set_b")).distinct(), "p6-candidates")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
     wanted = candidates.select(F.explode(F.array("set_a", "set_b")).alias("set_id")).distinct()
     owners = members.join(wanted, "set_id").groupBy("set_id").agg(F.min(key).alias(key))
-    found = rows.join(owners, key).groupBy("set_id", key).agg(F.min(text).alias("_text"))
+    owners = stored(owners, "p6-owners")
+    # few keys go to the texts; where there are many, texts and keys are shuffled
+    held_keys = F.broadcast(owners) if owners.count() <= BROADCAST_KEYS else owners
+    found = rows.join(held_keys, key).groupBy("set_id", key).agg(F.min(text).alias("_text"))
     texts = stored(found.select("set_id", "_text"), "p6-texts")
     both = candidates.join(texts.select(F.col("set_id").alias("set_a"), F.col("_text").alias("text_a")), "set_a").join(texts.select(F.col("set_id").alias("set_b"), F.col("_text").alias("text_b")), "set_b")
 
@@ -240,30 +264,44 @@ def _small(t: float) -> int:
     return math.ceil(together / (1 + t)) + 1
 
 
-def gram_list(text: str, n: int) -> list[tuple[str, ...]]:
-    words = WORD.findall(text.lower())
-    return sorted(set(zip(*[words[k:] for k in range(n)])))
+class WordNumbers(dict):
+    """Numbers of words as they come, so that an n-gram is one exact number."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+    def grams(self, text: str, n: int) -> set[int]:
+        """The distinct n-grams of a text."""
+        ids = [self[w] for w in WORD.findall(text.lower())]
+        out = ids
+        for k in range(1, n):
+            out = [a << 32 | b for a, b in zip(out, ids[k:])]
+        return set(out)
 
 
 class PrefixTree:
-    """Ordered sets as paths; a node knows how long the longest path below it still is, and the smallest set."""
+    """Ordered sets as paths; a node knows how long the longest path below it still is, and the smallest set.
 
-    __slots__ = ("below", "ends", "longest", "least")
+    A node is a list: what follows by n-gram, names that end here with their sizes, longest rest, smallest size.
+    """
 
     def __init__(self):
-        self.below: dict = {}
-        self.ends: list[tuple[int, int]] = []
-        self.longest = 0
-        self.least = 1 << 30
+        self.root: list = [{}, [], 0, 1 << 30]
 
     def add(self, items: list, name: int) -> None:
-        node, left = self, len(items)
-        for x in items:
-            node.longest, node.least = max(node.longest, left), min(node.least, len(items))
-            node = node.below.setdefault(x, PrefixTree())
-            left -= 1
-        node.least = min(node.least, len(items))
-        node.ends.append((name, len(items)))
+        node, size = self.root, len(items)
+        for k, item in enumerate(items):
+            if node[2] < size - k:
+                node[2] = size - k
+            if node[3] > size:
+                node[3] = size
+            nxt = node[0].get(item)
+            if nxt is None:
+                nxt = node[0][item] = [{}, [], 0, size]
+            node = nxt
+        node[1].append((name, size))
+        node[3] = min(node[3], size)
 
     def similar(self, probe: list, threshold: float) -> list[int]:
         """Names of the sets whose Jaccard index with the probe reaches the threshold. Sets with the same beginning
@@ -271,15 +309,17 @@ class PrefixTree:
         place = {x: k for k, x in enumerate(probe)}
         size, found = len(probe), []
         share = threshold / (1 + threshold)
-        stack = [(self, 0, -1)]
+        stack = [(self.root, 0, -1)]
         while stack:
             node, overlap, last = stack.pop()
-            for name, length in node.ends:
+            below, ends, longest, least = node
+            for name, length in ends:
                 if overlap >= threshold * (size + length - overlap) - 1e-9:
                     found.append(name)
-            if not node.below or overlap + min(node.longest, size - 1 - last) < share * (size + node.least) - 1e-9:
+            rest = size - 1 - last
+            if not below or overlap + (longest if longest < rest else rest) < share * (size + least) - 1e-9:
                 continue
-            for x, child in node.below.items():
+            for x, child in below.items():
                 at = place.get(x)
                 stack.append((child, overlap, last) if at is None else (child, overlap + 1, at))
         return found
@@ -288,13 +328,21 @@ class PrefixTree:
 def _decide(batch: pa.RecordBatch, n: int, threshold: float) -> pa.RecordBatch:
     left, right = batch.column(0).to_pylist(), batch.column(1).to_pylist()
     text_a, text_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-    kept, k = [], 0
+    numbers, kept, k = WordNumbers(), [], 0
     while k < len(left):
-        end, tree = k, PrefixTree()
+        end, probe = k + 1, numbers.grams(text_a[k], n)
         while end < len(left) and left[end] == left[k]:
-            tree.add(gram_list(text_b[end], n), end)
             end += 1
-        kept += tree.similar(gram_list(text_a[k], n), threshold)
+        if end == k + 1:  # a tree of one path
+            other = numbers.grams(text_b[k], n)
+            overlap = len(probe & other)
+            if overlap >= threshold * (len(probe) + len(other) - overlap) - 1e-9:
+                kept.append(k)
+        else:
+            tree = PrefixTree()
+            for i in range(k, end):
+                tree.add(sorted(numbers.grams(text_b[i], n)), i)
+            kept += tree.similar(sorted(probe), threshold)
         k = end
     kept.sort()
     return pa.RecordBatch.from_arrays([pa.array([left[i] for i in kept], pa.int64()), pa.array([right[i] for i in kept], pa.int64())], names=["set_a", "set_b"])
