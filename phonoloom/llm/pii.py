@@ -25,7 +25,7 @@ DIGIT_WORDS = "không một hai ba bốn năm sáu bảy tám chín".split()
 _DIGIT_WORDS = frozenset(DIGIT_WORDS)
 _EMAIL_BODY = re.compile(r"[\w.+\-]+$")
 #: Parameters of the training table: fillings of a sentence with personal information, of one without.
-FILLINGS, FILLINGS_PLAIN = 22, 12
+FILLINGS, FILLINGS_PLAIN = 36, 20
 
 
 def _bare(word: str) -> str:
@@ -112,7 +112,7 @@ class _Filler:
         area = r.choice([f", phường {r.choice(table_.PLACES)}", f", P. {r.choice(table_.PLACES)}", f", xã {r.choice(table_.PLACES)}", f", thị trấn {r.choice(table_.PLACES)}", "", ""])
         out = f"{house} {road}{r.choice(table_.STREETS)}"
         x = r.random()
-        if x < 0.15 and road:
+        if x < 0.2 and road:
             return out.lower()
         out += area
         return _bare(out) if x > 0.82 else out

@@ -110,6 +110,12 @@ PERSONAL = [
     "[id_number|{idnum}] hết hạn năm sau, giấy tờ tùy thân của tôi.",
     "The speaker's identity card number is [id_number|{idnum}] .",
     "ID card no. [id_number|{idnum}]",
+    "giay to: can cuoc [id_number|{idnum}]",
+    "so can cuoc cua toi [id_number|{idnum}] day",
+    "sdt [phone|{phone}] goi buoi toi",
+    "toi ten la [person_name|{name}] nhe",
+    "Nhắn [phone|{phone}] hoặc [phone|{phone}] để nhận tệp.",
+    "SĐT: [phone|{phone}] Nhắn [phone|{phone}] để nhận tệp.",
     "Nhà tôi ở [address|{address}].",
     "Nhận hàng tại [address|{address}], gọi trước nửa tiếng.",
     "Giao máy ghi âm tới số nhà [address|{address}] giùm.",
@@ -199,6 +205,11 @@ ORDINARY = [
     "{time} tôi với {role} đi {place} sơn lại {thing}, {feel}.",
     "Nhạc lên rồi {role} nhảy với {thing}, đếm tới {n}, {role} nghe xong {feel}.",
     "Một ngày của {role}",
+    "ha ha ha ha",
+    "ha ha ha ha ha ha",
+    "hi hi hi, la la la la",
+    "Ừm {thing} này mua hết {n} ngàn, {role} cứ đòi mang ra chợ mãi.",
+    "Ờ {thing} này hay ghê, à mà thôi.",
     "Nobody {eplace} knew why {erole} described {ething}.",
     "The segment starts {etime} and {erole} repeats the number {d}.",
     "So {etime} {erole} lost {ething} {eplace}.",
