@@ -36,7 +36,7 @@ def with_video_keys(df: DataFrame, item_id: str = "item_id", address: str = "sou
     digest = (F.length(body) == 16) & (F.translate(body, "0123456789abcdef", "") == "")
     number = F.length(body).isin(15, 19) & _digits(body)
     shaped = (number | digest) & ((F.size("_rest") == 1) | ((F.size("_rest") == 2) & _digits(tail)))
-    df = df.withColumns({"_number": F.when(shaped & number, body), "segment": F.when(shaped & (F.length(tail) < 19), tail.cast("bigint"))})
+    df = df.withColumns({"_number": F.when(shaped & number, body), "segment": F.when(shaped & (F.length(tail) < 19), tail.try_cast("bigint"))})
     url = F.split_part(F.trim(F.col(address)), F.lit("#"), F.lit(1))
     df = df.withColumn("_url", F.when(F.contains(url, F.lit("://")), F.expr("substring(split_part(trim(`{0}`), '#', 1), instr(split_part(trim(`{0}`), '#', 1), '://') + 3)".format(address))).otherwise(url))
     df = df.withColumn("_base", F.split_part(F.col("_url"), F.lit("?"), F.lit(1)))

@@ -329,19 +329,26 @@ def _decide(batch: pa.RecordBatch, n: int, threshold: float) -> pa.RecordBatch:
     left, right = batch.column(0).to_pylist(), batch.column(1).to_pylist()
     text_a, text_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
     numbers, kept, k = WordNumbers(), [], 0
+    known: dict[int, set[int]] = {}
+
+    def grams(name: int, text: str) -> set[int]:
+        if name not in known:
+            known[name] = numbers.grams(text, n)
+        return known[name]
+
     while k < len(left):
-        end, probe = k + 1, numbers.grams(text_a[k], n)
+        end, probe = k + 1, grams(left[k], text_a[k])
         while end < len(left) and left[end] == left[k]:
             end += 1
         if end == k + 1:  # a tree of one path
-            other = numbers.grams(text_b[k], n)
+            other = grams(right[k], text_b[k])
             overlap = len(probe & other)
             if overlap >= threshold * (len(probe) + len(other) - overlap) - 1e-9:
                 kept.append(k)
         else:
             tree = PrefixTree()
             for i in range(k, end):
-                tree.add(sorted(numbers.grams(text_b[i], n)), i)
+                tree.add(sorted(grams(right[i], text_b[i])), i)
             kept += tree.similar(sorted(probe), threshold)
         k = end
     kept.sort()
