@@ -171,7 +171,7 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
                     yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([raw], pa.binary())], names=names)
 
     seen_once = stored(rows.mapInArrow(survey, f"`{key}` {kind}, set_id bigint, slice int, counts binary"), "p6-survey")
-    members = seen_once.where("slice is null").select(key, "set_id").distinct()
+    members = stored(seen_once.where("slice is null").select(key, "set_id").distinct(), "p6-members")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -364,8 +364,11 @@ def near_copies(df: DataFrame, key: str = "item_id", text: str = "transcript_raw
     texts that are too short give no row; a key with several texts has those of each.
     """
     members, pairs = similar_sets(df, key, text, n, threshold, least_words)
-    members = stored(members, "p6-members")
     pairs = stored(pairs, "p6-pairs")
+    # most sets stand alone: only those with a copy or a partner go on
+    copies = members.groupBy("set_id").agg(F.count("*").alias("_m")).where("_m > 1").select("set_id")
+    involved = copies.unionByName(pairs.select(F.explode(F.array("set_a", "set_b")).alias("set_id"))).distinct()
+    members = stored(members.join(involved, "set_id", "left_semi"), "p6-involved")
     groups = members.groupBy("set_id").agg(F.count("*").alias("_m"), F.min(key).alias("_least"))
     large = groups.where(F.col("_m") > 1)
     own = members.join(large, "set_id")
@@ -387,7 +390,7 @@ def copy_groups(df: DataFrame, key: str = "item_id", text: str = "transcript_raw
     records it is linked with through similar texts (itself, if none), and the number of other records it is
     similar to."""
     members, pairs = similar_sets(df, key, text, n, threshold, least_words)
-    members, pairs = stored(members, "p6-members"), stored(pairs, "p6-pairs")
+    pairs = stored(pairs, "p6-pairs")
     labels = connected_components(pairs, "set_a", "set_b")
     sizes = members.groupBy("set_id").agg(F.count("*").alias("_m"))
     both = pairs.select("set_a", "set_b").unionByName(pairs.select(F.col("set_b").alias("set_a"), F.col("set_a").alias("set_b")))
