@@ -56,14 +56,12 @@ def run_to_table(stream: DataFrame, mode: str = "append") -> DataFrame:
 def count_into(stream: DataFrame, by: str, path: str) -> None:
     """A running count per value, micro-batch by micro-batch: each batch's counts are added up as a new file named by
     the batch, so that a batch that is run again replaces its own."""
-    spark = stream.sparkSession
 
     def add(batch: DataFrame, number: int) -> None:
         batch.groupBy(by).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/counts/batch={number}")
 
     query = stream.writeStream.foreachBatch(add).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    del spark
 
 
 def funnel_of_stream(spark: SparkSession, root: str) -> DataFrame:
