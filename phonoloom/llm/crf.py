@@ -6,7 +6,7 @@ array look-ups per token. Sequences of like length are decoded together.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import xxhash

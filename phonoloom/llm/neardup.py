@@ -29,6 +29,8 @@ WORD = re.compile(r"[^\W_]+")
 COUNTERS, SLICES = 1 << 26, 256
 #: Groups of equal sets are written out in all pairs up to this many pairs; larger ones as pairs with their smallest.
 EXPAND = 4096
+#: So few partners are compared one by one: a tree costs more than it shares.
+FEW = 6
 #: Keys that are sent to every task at most, some 30 MB.
 BROADCAST_KEYS = 400_000
 BITS = ("bits0", "bits1", "bits2")
@@ -340,11 +342,12 @@ def _decide(batch: pa.RecordBatch, n: int, threshold: float) -> pa.RecordBatch:
         end, probe = k + 1, grams(left[k], text_a[k])
         while end < len(left) and left[end] == left[k]:
             end += 1
-        if end == k + 1:  # a tree of one path
-            other = grams(right[k], text_b[k])
-            overlap = len(probe & other)
-            if overlap >= threshold * (len(probe) + len(other) - overlap) - 1e-9:
-                kept.append(k)
+        if end <= k + FEW:
+            for i in range(k, end):
+                other = grams(right[i], text_b[i])
+                overlap = len(probe & other)
+                if overlap >= threshold * (len(probe) + len(other) - overlap) - 1e-9:
+                    kept.append(i)
         else:
             tree = PrefixTree()
             for i in range(k, end):
