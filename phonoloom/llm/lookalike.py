@@ -35,8 +35,22 @@ _TONES = ["", "́", "̀", "̉", "̃", "̣"]
 #: Every letter a Vietnamese or English word has, composed.
 LETTERS = sorted({c for b in _BASE for t in (_TONES if b in "aăâeêioôơuưy" else [""]) for c in (unicodedata.normalize("NFC", b + t), unicodedata.normalize("NFC", b + t).upper())})
 PLAIN = frozenset(LETTERS)
+
+
+def _ranges(characters: str) -> str:
+    """Characters as ranges of a class: a pattern tries its parts one by one, for every character of a text."""
+    out, codes = [], sorted({ord(c) for c in characters})
+    for code in codes:
+        if out and code == out[-1][1] + 1:
+            out[-1][1] = code
+        else:
+            out.append([code, code])
+    out.sort(key=lambda r: r[0] - r[1])  # the widest first
+    return "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in out)
+
+
 #: A text of these characters only is in the consistent form already.
-PLAIN_CLASS = " -~" + "".join(c for c in LETTERS if ord(c) > 126) + "–—…“”‘’«»•·°£€₫©®"
+PLAIN_CLASS = " -~" + _ranges("".join(c for c in LETTERS if ord(c) > 126) + "–—…“”‘’«»•·°£€₫©®")
 _NOT_PLAIN = f"[^{PLAIN_CLASS}]"
 
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
