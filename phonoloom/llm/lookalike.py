@@ -221,6 +221,19 @@ def ngram_scores(df: DataFrame, text: str = "transcript_raw") -> NgramScores:
     return NgramScores({(low[r["pair"] // k], low[r["pair"] % k]): float(r["n"]) for r in sums})
 
 
+def _read_again(rows: DataFrame, text: str, out: str, scores: NgramScores) -> DataFrame:
+    """``rows`` with ``out``, the consistent form of ``text``, which is the last column, by :func:`canonical_text`."""
+    names = [*rows.columns, out]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, str] = {}
+        for batch in batches:
+            fixed = [None if x is None else canonical_text(x, scores, known) for x in batch.column(len(names) - 2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fixed, pa.string())], names=names)
+
+    return rows.mapInArrow(run, rows.withColumn(out, F.col(text)).schema)
+
+
 def canonical(df: DataFrame, text: str = "transcript_raw", out: str = "canonical", scores: NgramScores | None = None, keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (all but ``out`` if not given), the text and ``out``, its consistent form. Null stays null.
 
@@ -230,22 +243,11 @@ def canonical(df: DataFrame, text: str = "transcript_raw", out: str = "canonical
     scores = scores or ngram_scores(df, text)
     kept = [c for c in (keep if keep is not None else df.columns) if c not in (text, out)]
     rows = df.select(*kept, text)
-    odd = F.col(text).rlike(_NOT_PLAIN)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, str] = {}
-        for batch in batches:
-            fixed = [canonical_text(x, scores, known) for x in batch.column(len(kept)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fixed, pa.string())], names=[*kept, text, out])
-
-    plain = rows.where(~odd | F.col(text).isNull()).withColumn(out, F.col(text))
-    schema = plain.schema
-    return plain.unionByName(rows.where(odd).mapInArrow(run, schema))
+    odd = F.coalesce(F.col(text).rlike(_NOT_PLAIN), F.lit(False))
+    return rows.where(~odd).withColumn(out, F.col(text)).unionByName(_read_again(rows.where(odd), text, out, scores))
 
 
 def not_canonical(df: DataFrame, key: str = "item_id", text: str = "transcript_raw") -> DataFrame:
     """(key) of the records that have a transcript which isn't in the consistent form; null ids give no row."""
-    scores = ngram_scores(df, text)
     odd = df.where(F.col(key).isNotNull() & F.col(text).rlike(_NOT_PLAIN)).select(key, text)
-    fixed = canonical(odd, text, "canonical", scores, [key])
-    return fixed.where(~F.col("canonical").eqNullSafe(F.col(text))).select(key).distinct()
+    return _read_again(odd, text, "_form", ngram_scores(df, text)).where(F.col("_form") != F.col(text)).select(key).distinct()
