@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # small tables keep all cores busy: much of the work here is by row, not by byte
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 
@@ -72,6 +74,13 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan for work that is heavy by row: one that comes in fewer partitions than there are cores is spread over
+    them. Larger inputs stay where they lie."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def tokenizer_dir() -> str:
     """Where the public tokenizers' files are; PHONOLOOM_TOKENIZERS overrides it."""
     return os.environ.get("PHONOLOOM_TOKENIZERS", "/opt/tokenizers")
