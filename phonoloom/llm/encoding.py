@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from phonoloom.plans.cluster import tokenizer_dir
+from phonoloom.plans.cluster import spread, tokenizer_dir
 
 #: Texts that go to the library at once, by characters: keeps a task's memory flat over very long texts.
 CHARS = 2_000_000
@@ -83,8 +83,9 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "i
     """(key, out): the ids of every text without special tokens; with ``only_count`` their number instead.
 
     Null and empty texts have no ids: an empty list (count 0). Strings of special tokens in a text are encoded as
-    ordinary text. Every row gives one row; other columns are not read. No shuffle: Arrow batches go to the
-    library where they lie, each in slices of at most about CHARS characters (one longer text goes whole).
+    ordinary text. Every row gives one row; other columns are not read. No shuffle, except of
+    inputs too small to keep all cores busy: Arrow batches go to the library where they lie, each in slices of at
+    most about CHARS characters (one longer text goes whole).
     """
     path = os.path.join(tokenizer_dir(), vocabulary)
     kind = df.schema[key].dataType.simpleString()
@@ -105,7 +106,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "i
                     value = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), value], names=[key, out])
 
-    return df.select(key, F.col(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, `{out}` {'bigint' if only_count else 'array<int>'}")
+    return spread(df.select(key, F.col(text).alias("_text"))).mapInArrow(run, f"`{key}` {kind}, `{out}` {'bigint' if only_count else 'array<int>'}")
 
 
 def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", out: str = "text", vocabulary: str = "byte_bpe_50k.json") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 
 from phonoloom.llm import pii_labels as table_
 from phonoloom.llm.crf import Crf, Words
+from phonoloom.plans.cluster import spread
 
 KINDS = ["email", "phone", "id_number", "address", "person_name"]
 LABELS = ["O"] + [f"{b}-{k}" for k in KINDS for b in "BI"]
@@ -292,7 +293,7 @@ def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                         ends.append(e)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names=[key, "pii_kind", "start_char", "end_char"])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, pii_kind string, start_char bigint, end_char bigint")
+    return spread(df.select(key, text)).mapInArrow(run, f"`{key}` {kind}, pii_kind string, start_char bigint, end_char bigint")
 
 
 def redact(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "redacted") -> DataFrame:
@@ -316,4 +317,4 @@ def redact(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "r
                     done.append(None if was is None else "".join(parts) + x[last:])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(done, pa.string())], names=[key, out])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, `{out}` string")
+    return spread(df.select(key, text)).mapInArrow(run, f"`{key}` {kind}, `{out}` string")

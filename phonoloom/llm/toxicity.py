@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from phonoloom.llm import toxicity_labels as extra
 from phonoloom.llm.crf import Crf, Words
 from phonoloom.llm.lookalike import _NOT_PLAIN, NgramScores, canonical_text
+from phonoloom.plans.cluster import spread
 
 LABELS = ["O", "abusive", "hateful", "sexual"]
 #: Labelled transcripts that training reads at most, in the order of label_id.
@@ -170,7 +171,15 @@ def trained(labels: DataFrame, sample: int = SAMPLE) -> tuple[Crf, NgramScores]:
         low = f" {(text or '').lower()} "
         counts.update(zip(low, low[1:]))
     scores = NgramScores({k: float(n) for k, n in counts.items()})
-    return train(rows, scores), scores
+    known = hash(tuple(rows))
+    if known not in _TRAINED:
+        _TRAINED.clear()
+        _TRAINED[known] = (train(rows, scores), scores)
+    return _TRAINED[known]
+
+
+#: The field last trained, by the labelled rows.
+_TRAINED: dict[int, tuple[Crf, NgramScores]] = {}
 
 
 def peak(p: np.ndarray, span: int = SPAN) -> float:
@@ -234,7 +243,7 @@ def score(df: DataFrame, labels: DataFrame, key: str = "item_id", text: str = "t
                 names=[key, "score", "kind", "p_abusive", "p_hateful", "p_sexual", "spans"],
             )
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind_of_key}, {SCORE_COLUMNS}")
+    return spread(df.select(key, text)).mapInArrow(run, f"`{key}` {kind_of_key}, {SCORE_COLUMNS}")
 
 
 def rates(df: DataFrame, scored: DataFrame, groups: list[str], key: str = "item_id") -> DataFrame:
