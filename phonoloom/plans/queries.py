@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from phonoloom.functions import classify, dates, ids, lexicons, signal, text
+from phonoloom.functions.numbers import rounded
 from phonoloom.operators import dedup, reconcile, rollup, segment
 from phonoloom.operators.gates import item_gates, low_voice
 from phonoloom.plans import pipeline
@@ -675,11 +676,11 @@ def _talk(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {_TALK}, g AS (SELECT user_id, d, e AS a, lead(s) OVER (PARTITION BY user_id, d ORDER BY s, e) AS b FROM t)
-SELECT user_id, strftime(d, '%Y-%m-%d') AS day, round(a, 3) AS gap_start, round(b, 3) AS gap_end, round((a + b) / 2, 3) AS mid FROM g WHERE round(b - a, 6) >= 0.35"""
+SELECT user_id, strftime(d, '%Y-%m-%d') AS day, floor(a * 1000 + 0.5::double) / 1000 AS gap_start, floor(b * 1000 + 0.5::double) / 1000 AS gap_end, round((a + b) / 2, 3) AS mid FROM g WHERE round(b - a, 6) >= 0.35"""
 )
 def silence_gaps(spark: SparkSession, sf: str) -> DataFrame:
     rows = segment.silence_gaps(_talk(spark, sf), ["user_id", "d"], 0.35)
-    return rows.select("user_id", F.date_format("d", "yyyy-MM-dd").alias("day"), F.round("start", 3).alias("gap_start"), F.round("end", 3).alias("gap_end"), "mid")
+    return rows.select("user_id", F.date_format("d", "yyyy-MM-dd").alias("day"), rounded(F.col("start"), 3).alias("gap_start"), rounded(F.col("end"), 3).alias("gap_end"), "mid")
 
 
 @query(
@@ -721,12 +722,12 @@ def pad_clamp(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH RECURSIVE {_TALK}, r AS (SELECT *, row_number() OVER (PARTITION BY user_id, d ORDER BY s, e) AS k FROM t),
 walk AS (SELECT user_id, d, k, s AS a, e AS b FROM r WHERE k = 1 UNION ALL SELECT r.user_id, r.d, r.k, CASE WHEN r.e - walk.a <= 900 THEN walk.a ELSE r.s END, r.e FROM walk JOIN r ON r.user_id = walk.user_id AND r.d = walk.d AND r.k = walk.k + 1),
 ends AS (SELECT *, lead(a) OVER (PARTITION BY user_id, d ORDER BY k) AS next_a FROM walk)
-SELECT user_id, strftime(d, '%Y-%m-%d') AS day, round(a, 3) AS start_sec, round(b, 3) AS end_sec FROM ends WHERE (next_a IS NULL OR next_a <> a) AND b - a >= 3"""
+SELECT user_id, strftime(d, '%Y-%m-%d') AS day, floor(a * 1000 + 0.5::double) / 1000 AS start_sec, floor(b * 1000 + 0.5::double) / 1000 AS end_sec FROM ends WHERE (next_a IS NULL OR next_a <> a) AND b - a >= 3"""
 )
 def greedy_merge(spark: SparkSession, sf: str) -> DataFrame:
     days = _talk(spark, sf).groupBy("user_id", "d").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("i"))
     rows = days.select("user_id", F.date_format("d", "yyyy-MM-dd").alias("day"), F.explode(segment.greedy_merge(F.col("i"), 3.0, 900.0)).alias("p"))
-    return rows.select("user_id", "day", F.round("p.start", 3).alias("start_sec"), F.round("p.end", 3).alias("end_sec"))
+    return rows.select("user_id", "day", rounded(F.col("p.start"), 3).alias("start_sec"), rounded(F.col("p.end"), 3).alias("end_sec"))
 
 
 # --- event time -----------------------------------------------------------------------------------------------------
