@@ -27,8 +27,10 @@ from phonoloom.plans.cluster import stored
 WORD = re.compile(r"[^\W_]+")
 #: Counters of neighbour pairs, of one byte. Too few only cost look-ups, never a pair.
 COUNTERS, SLICES = 1 << 26, 256
-#: Groups of equal sets are written out in all pairs up to this many pairs; larger ones as pairs with their smallest.
+#: Records of one text, byte by byte, are written out in all pairs up to this many pairs; more of them as pairs with their smallest.
 EXPAND = 4096
+#: Records of a set that meet those of another in one piece, about.
+BLOCK = 64
 #: So few partners are compared one by one: a tree costs more than it shares.
 FEW = 6
 #: Keys that are sent to every task at most, some 30 MB.
@@ -127,7 +129,8 @@ def _least_shared(size: np.ndarray, t: float) -> np.ndarray:
 
 
 def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: float = 0.6, least_words: int = 40) -> tuple[DataFrame, DataFrame]:
-    """(members: key, set_id), (pairs: set_a, set_b): all sets with their records, all pairs of similar sets.
+    """(members: key, set_id, text_id), (pairs: set_a, set_b): all sets with their records and the numbers of their texts,
+    all pairs of similar sets.
 
     Sets are those of n successive words (runs of letters and digits, without case) of texts with at least
     ``least_words`` words; similar is a Jaccard index of at least ``threshold`` (above 0.5). Equal sets are one.
@@ -136,6 +139,7 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
         raise ValueError("neighbours are only certain above 0.5")
     spark = df.sparkSession
     rows = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
+    numbered = rows.withColumn("text_id", F.xxhash64(text))
     kind = rows.schema[key].dataType.simpleString()
     width = COUNTERS // SLICES
 
@@ -154,7 +158,7 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, numbers, seen = np.zeros(COUNTERS, dtype=np.uint8), {}, set()
-        names, any_row = [key, "set_id", "slice", "counts"], False
+        names, any_row = [key, "set_id", "text_id", "slice", "counts"], False
         for batch in batches:
             sets, ids, fresh = _parsed(batch, 1, n, least_words, numbers, seen)
             pair, owner = sets.neighbours()
@@ -162,18 +166,19 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
             at = at.astype(np.int64)
             counts[at] = np.minimum(counts[at].astype(np.int64) + c, 255).astype(np.uint8)
             any_row = any_row or len(at) > 0
-            keys = batch.column(0).take(pa.array(sets.rows))
+            at = pa.array(sets.rows)
+            keys, of = batch.column(0).take(at), batch.column(2).take(at)
             nothing = pa.nulls(len(ids))
-            yield pa.RecordBatch.from_arrays([keys, pa.array(ids), nothing.cast(pa.int32()), nothing.cast(pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([keys, pa.array(ids), of, nothing.cast(pa.int32()), nothing.cast(pa.binary())], names=names)
         if any_row:
             kinds = keys.type
             for k in range(SLICES):
                 raw = packed(counts[k * width : (k + 1) * width])
                 if raw:
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([raw], pa.binary())], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([raw], pa.binary())], names=names)
 
-    seen_once = stored(rows.mapInArrow(survey, f"`{key}` {kind}, set_id bigint, slice int, counts binary"), "p6-survey")
-    members = stored(seen_once.where("slice is null").select(key, "set_id").distinct(), "p6-members")
+    seen_once = stored(numbered.mapInArrow(survey, f"`{key}` {kind}, set_id bigint, text_id bigint, slice int, counts binary"), "p6-survey")
+    members = stored(seen_once.where("slice is null").select(key, "set_id", "text_id").distinct(), "p6-members")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -361,10 +366,10 @@ def _decide(batch: pa.RecordBatch, n: int, threshold: float) -> pa.RecordBatch:
 def near_copies(df: DataFrame, key: str = "item_id", text: str = "transcript_raw", n: int = 3, threshold: float = 0.6, least_words: int = 40) -> DataFrame:
     """(key_a, key_b) with key_a < key_b: pairs of records whose texts' n-gram sets are similar.
 
-    Records with equal sets are a group: pairs within a group, and between similar groups, are written out in full
-    while a group (or two together) makes at most EXPAND of them; beyond, as pairs of each record with the smallest
-    of its group and pairs of the smallest of similar groups, from which all others follow. Null keys and texts and
-    texts that are too short give no row; a key with several texts has those of each.
+    All pairs of records with different texts are written out. Records with the same text, byte by byte, are too while
+    they make at most EXPAND pairs; beyond, they come as pairs of each with the smallest, and ``exact_copies`` tells
+    which records have one text. Null keys and texts and texts that are too short give no row; a key with several
+    texts has those of each.
     """
     members, pairs = similar_sets(df, key, text, n, threshold, least_words)
     pairs = stored(pairs, "p6-pairs")
@@ -372,27 +377,55 @@ def near_copies(df: DataFrame, key: str = "item_id", text: str = "transcript_raw
     copies = members.groupBy("set_id").agg(F.count("*").alias("_m")).where("_m > 1").select("set_id")
     involved = copies.unionByName(pairs.select(F.explode(F.array("set_a", "set_b")).alias("set_id"))).distinct()
     members = stored(members.join(involved, "set_id", "left_semi"), "p6-involved")
-    groups = members.groupBy("set_id").agg(F.count("*").alias("_m"), F.min(key).alias("_least"))
-    large = groups.where(F.col("_m") > 1)
-    own = members.join(large, "set_id")
-    whole = own.where(F.col("_m") * F.col("_m") <= EXPAND)
-    inside = whole.select("set_id", F.col(key).alias("x")).join(whole.select("set_id", F.col(key).alias("y")), "set_id").select("x", "y")
-    star = own.where(F.col("_m") * F.col("_m") > EXPAND).select(F.col("_least").alias("x"), F.col(key).alias("y"))
-    sized = pairs.join(groups.select(F.col("set_id").alias("set_a"), F.col("_m").alias("_ma"), F.col("_least").alias("_la")), "set_a").join(
-        groups.select(F.col("set_id").alias("set_b"), F.col("_m").alias("_mb"), F.col("_least").alias("_lb")), "set_b"
+    texts = members.groupBy("set_id", "text_id").agg(F.count("*").alias("_n"), F.min(key).alias("_least"))
+    large = texts.where(F.col("_n") * F.col("_n") > EXPAND)
+    star = members.join(large, ["set_id", "text_id"]).select(F.col("_least").alias("x"), F.col(key).alias("y"))
+    # records of a large text stand in blocks of their own, the others of the set share blocks
+    units = large.select("set_id", F.col("text_id").alias("_of"), "_n").unionByName(
+        texts.where(F.col("_n") * F.col("_n") <= EXPAND).groupBy("set_id").agg(F.sum("_n").alias("_n")).withColumn("_of", F.lit(None).cast("bigint"))
     )
-    few = sized.where(F.col("_ma") * F.col("_mb") <= EXPAND).select("set_a", "set_b")
-    between = few.join(members.select(F.col("set_id").alias("set_a"), F.col(key).alias("x")), "set_a").join(members.select(F.col("set_id").alias("set_b"), F.col(key).alias("y")), "set_b").select("x", "y")
-    heads = sized.where(F.col("_ma") * F.col("_mb") > EXPAND).select(F.col("_la").alias("x"), F.col("_lb").alias("y"))
-    every = inside.unionByName(star).unionByName(between).unionByName(heads).where("x <> y")
+    units = stored(units.withColumn("_blocks", F.ceil(F.col("_n") / BLOCK)), "p6-units")
+    owned = members.join(large.select("set_id", "text_id", F.col("text_id").alias("_of")), ["set_id", "text_id"], "left").select("set_id", "_of", key)
+    m, u = owned.alias("m"), units.alias("u")
+    at = m.join(u, (F.col("m.set_id") == F.col("u.set_id")) & F.col("m._of").eqNullSafe(F.col("u._of")))
+    block = F.struct(F.col("u.set_id"), F.col("u._of").isNull().alias("_mixed"), F.coalesce("u._of", F.lit(0)).alias("_of"), F.pmod(F.xxhash64(f"m.{key}"), "u._blocks").alias("_no"))
+    placed = stored(at.select(block.alias("block"), F.col(f"m.{key}").alias("x")), "p6-placed")
+    blocks = units.select("set_id", "_of", "_n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1)).alias("_no"))
+    blocks = blocks.select("set_id", "_of", "_n", F.struct("set_id", F.col("_of").isNull().alias("_mixed"), F.coalesce("_of", F.lit(0)).alias("_of"), "_no").alias("block"))
+    a, b = blocks.alias("a"), blocks.alias("b")
+    same_text = F.coalesce(F.col("a._of") == F.col("b._of"), F.lit(False))
+    alone = (F.col("a.block") == F.col("b.block")) & (F.col("a._n") == 1)
+    meet = (F.col("a.set_id") == F.col("b.set_id")) & (F.col("a.block") <= F.col("b.block")) & ~same_text & ~alone
+    inside = a.join(b, meet).select(F.col("a.block").alias("block_a"), F.col("b.block").alias("block_b"))
+    between = pairs.join(blocks.select(F.col("set_id").alias("set_a"), F.col("block").alias("block_a")), "set_a").join(blocks.select(F.col("set_id").alias("set_b"), F.col("block").alias("block_b")), "set_b").select("block_a", "block_b")
+    met = inside.unionByName(between)
+    written = met.join(placed.select(F.col("block").alias("block_a"), "x"), "block_a").join(placed.select(F.col("block").alias("block_b"), F.col("x").alias("y")), "block_b").select("x", "y")
+    every = written.unionByName(star).where("x <> y")
     return every.select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b")).distinct()
 
 
+def exact_copies(df: DataFrame, key: str = "item_id", text: str = "transcript_raw", n: int = 3, least_words: int = 40) -> DataFrame:
+    """(key, representative, text_id): every record with a text that ``near_copies`` compares, and the smallest key that has
+    the same text, byte by byte. Records of one text_id are pairs of each other, so that with the rows of
+    ``near_copies`` all pairs follow. A key with several texts has a row for each."""
+
+    def long_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [len(WORD.findall(t.lower())) >= max(least_words, n) for t in batch.column(2).to_pylist()]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    rows = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, F.xxhash64(text).alias("text_id"), text)
+    kind = rows.schema[key].dataType.simpleString()
+    kept = stored(rows.mapInArrow(long_enough, f"`{key}` {kind}, text_id bigint").distinct(), "p6-exact")
+    return kept.join(kept.groupBy("text_id").agg(F.min(key).alias("representative")), "text_id").select(key, "representative", "text_id")
+
+
 def copy_groups(df: DataFrame, key: str = "item_id", text: str = "transcript_raw", n: int = 5, threshold: float = 0.8, least_words: int = 5) -> DataFrame:
     """(key, group_id, n_links): every record that has a text of at least ``least_words`` words, the smallest key of the
     records it is linked with through similar texts (itself, if none), and the number of other records it is
     similar to."""
     members, pairs = similar_sets(df, key, text, n, threshold, least_words)
+    members = members.select(key, "set_id").distinct()
     pairs = stored(pairs, "p6-pairs")
     labels = connected_components(pairs, "set_a", "set_b")
     sizes = members.groupBy("set_id").agg(F.count("*").alias("_m"))

@@ -78,6 +78,11 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_copies(table(spark, sf, "metadata_extended"))
 
 
+def p6_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of one text, which p6_found gives as pairs with the smallest where they are many."""
+    return neardup.exact_copies(table(spark, sf, "metadata_extended"))
+
+
 def p6_groups(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.copy_groups(table(spark, sf, "metadata_extended"))
 
@@ -129,6 +134,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_scores": p5_scores,
         "p5_rates": p5_rates,
         "p6_found": p6_found,
+        "p6_copies": p6_copies,
         "p6_groups": p6_groups,
         "p7_found": p7_found,
         "p8_ids": p8_ids,

@@ -136,6 +136,24 @@ def test_many_equal_texts_come_as_a_star(spark):
     assert got == {("a000", f"a{k:03d}") for k in range(1, 90)} | {(f"a{k:03d}", "b") for k in range(90)}
 
 
+def test_all_pairs_between_different_texts_of_large_groups(spark):
+    words = [f"từ{k}" for k in range(60)]
+    text, other = " ".join(words), " ".join(words).replace("từ30", "khác")
+    rows = [(f"a{k:03d}", text) for k in range(90)] + [(f"b{k:03d}", text.upper()) for k in range(3)] + [(f"c{k:03d}", text + " " + "!" * (k + 1)) for k in range(70)]
+    rows += [(f"d{k:03d}", other) for k in range(80)]
+    df = spark.createDataFrame(rows, "item_id string, transcript_raw string")
+    got = {tuple(r) for r in neardup.near_copies(df).collect()}
+    texts, want = dict(rows), brute(rows, 3, 0.6, 40)
+    stars = {(a, b) for a, b in want if texts[a] == texts[b] and a[0] in "ad" and a[1:] != "000"}
+    assert got == want - stars and len(want) == 243 * 242 // 2
+    copies = neardup.exact_copies(df).collect()
+    assert {(r["item_id"], r["representative"]) for r in copies} == {(k, f"{k[0]}000" if k[0] != "c" else k) for k in texts}
+    one = {}
+    for r in copies:
+        one.setdefault(r["text_id"], []).append(r["item_id"])
+    assert got | {p for ids in one.values() for p in itertools.combinations(sorted(ids), 2)} == want
+
+
 def test_hot_signs_lose_nothing(spark):
     rng = random.Random(9)
     shared = [f"chung{k}" for k in range(45)]
