@@ -772,7 +772,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def stream_tumbling(spark: SparkSession, sf: str) -> DataFrame:
-    return streams.run_to_table(streams.tumbling(streams.read_stream(spark, sf)))
+    return streams.tumbling_of_stream(spark, sf)
 
 
 @query()

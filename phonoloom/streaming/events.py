@@ -45,7 +45,8 @@ def once(events: DataFrame, keys: list[str], within: str = "1 day") -> DataFrame
 
 def run_to_table(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Runs a stream over all that is there and gives its result as a table. Offsets, state and output stand in the
-    shared folder, so that a restarted run goes on where it was."""
+    shared folder, so that a restarted run goes on where it was. In append mode windows that the watermark has not passed
+    at the end don't come out; ``tumbling_of_stream`` has them all."""
     spark = stream.sparkSession
     base = f"{shared_dir(spark).rstrip('/')}/streams/{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
     query = stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").outputMode(mode).trigger(availableNow=True).start()
@@ -69,3 +70,19 @@ def funnel_of_stream(spark: SparkSession, root: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/streams/{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
     count_into(read_stream(spark, root), "event_type", path)
     return spark.read.parquet(f"{path}/counts").groupBy("event_type").agg(F.sum("n").alias("n"))
+
+
+def tumbling_of_stream(spark: SparkSession, root: str, width: str = "1 hour", files_at_once: int = 64) -> DataFrame:
+    """What ``tumbling`` gives of the table, counted incrementally: each micro-batch's windows are written as a new file
+    and added up, so that none waits for a watermark and no row is too late."""
+    path = f"{shared_dir(spark).rstrip('/')}/streams/{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
+
+    def add(batch: DataFrame, number: int) -> None:
+        parts = batch.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+        parts.select(F.col("w.start").alias("start"), "event_type", "n", "total").write.mode("overwrite").parquet(f"{path}/counts/batch={number}")
+
+    stream = read_stream(spark, root, files_at_once=files_at_once)
+    add(spark.createDataFrame([], stream.schema), -1)  # a table without rows has no batch
+    query = stream.writeStream.foreachBatch(add).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.parquet(f"{path}/counts").groupBy("start", "event_type").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 2).alias("total"))

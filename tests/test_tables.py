@@ -120,6 +120,30 @@ def test_sessions_and_windows(spark):
     assert streams.sliding(df).count() == 4
 
 
+def test_stream_of_windows_has_the_last_and_the_late_ones(spark, tmp_path):
+    t = datetime.datetime
+    files = [[(1, t(2024, 1, 2, 0, 0), 1.25), (2, t(2024, 1, 2, 0, 50), None)], [(3, t(2024, 1, 1, 0, 10), 2.5), (4, t(2024, 1, 2, 0, 20), 0.5)], [(5, t(2024, 1, 2, 1, 59), None)]]
+    for f in files:
+        part = spark.createDataFrame([(i, ts, 1, "a", v, "{}") for i, ts, v in f], streams.EVENTS.replace("timestamp_ntz", "timestamp"))
+        part.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    got = streams.tumbling_of_stream(spark, str(tmp_path), files_at_once=1)
+    assert rows(got) == rows(streams.tumbling(spark.read.parquet(f"{tmp_path}/events.parquet"))) and got.count() == 3
+    spark.createDataFrame([], streams.EVENTS).write.parquet(f"{tmp_path}/none/events.parquet")
+    assert streams.tumbling_of_stream(spark, f"{tmp_path}/none").count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_stream_tumbling_equals_the_sql_of_the_table(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW events AS SELECT * FROM '/root/testdata/sf0.001/events.parquet'")
+    want = con.execute(__spark_entry__.oracle_sql()["tumbling_events"]).fetchall()
+    got = __spark_entry__.queries()["stream_tumbling"](spark, "/root/testdata/sf0.001").withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
+    near = lambda found: sorted((*r[:3], None if r[3] is None else round(r[3], 1)) for r in found)
+    assert near(got.collect()) == near(want)
+
+
 def test_registry_names_agree():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
