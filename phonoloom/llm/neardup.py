@@ -248,11 +248,12 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", usual)
     wanted = candidates.select(F.explode(F.array("set_a", "set_b")).alias("set_id")).distinct()
-    owners = members.join(wanted, "set_id").groupBy("set_id").agg(F.min(key).alias(key))
-    owners = stored(owners, "p6-owners")
+    owners = members.join(wanted, "set_id").groupBy("set_id").agg(F.min(F.struct(key, "text_id")).alias("_o"))
+    owners = stored(owners.select("set_id", f"_o.{key}", "_o.text_id"), "p6-owners")
     # few keys go to the texts; where there are many, texts and keys are shuffled
     held_keys = F.broadcast(owners) if owners.count() <= BROADCAST_KEYS else owners
-    found = rows.join(held_keys, key).groupBy("set_id", key).agg(F.min(text).alias("_text"))
+    # a key may have other texts than the one of this set
+    found = rows.join(held_keys, key).where(F.xxhash64(text) == F.col("text_id")).groupBy("set_id", key).agg(F.min(text).alias("_text"))
     texts = stored(found.select("set_id", "_text"), "p6-texts")
     both = candidates.join(texts.select(F.col("set_id").alias("set_a"), F.col("_text").alias("text_a")), "set_a").join(texts.select(F.col("set_id").alias("set_b"), F.col("_text").alias("text_b")), "set_b")
 

@@ -154,6 +154,15 @@ def test_all_pairs_between_different_texts_of_large_groups(spark):
     assert got | {p for ids in one.values() for p in itertools.combinations(sorted(ids), 2)} == want
 
 
+def test_a_key_with_several_texts_has_the_pairs_of_each(spark):
+    one, two = ([f"{w}{k}" for k in range(60)] for w in ("từ", "lời"))
+    texts = [("a", ""), ("a", " ".join(one)), ("a", " ".join(two)), ("b", " ".join(one[:-1])), ("c", " ".join(two[:-1])), ("d", "")]
+    df = spark.createDataFrame(texts, "item_id string, transcript_raw string")
+    assert {tuple(r) for r in neardup.near_copies(df).collect()} == {("a", "b"), ("a", "c")}
+    groups = {r["item_id"]: tuple(r)[1:] for r in neardup.copy_groups(df).collect()}
+    assert [groups[k] for k in "abc"] == [("a", 1)] * 3
+
+
 def test_hot_signs_lose_nothing(spark):
     rng = random.Random(9)
     shared = [f"chung{k}" for k in range(45)]
