@@ -187,7 +187,7 @@ def peak(p: np.ndarray, span: int = SPAN) -> float:
     if not len(p):
         return 0.0
     if len(p) <= span:
-        return float(p.sum() / span)
+        return float(p.mean())
     c = np.cumsum(np.concatenate([[0.0], p]))
     return float((c[span:] - c[:-span]).max() / span)
 

@@ -111,3 +111,14 @@ def test_places_of_personal_information(spark):
     red = {r["doc_id"]: r["redacted"] for r in pii.redact(df).collect()}
     assert red[1].startswith("Họ tên: [PERSON_NAME]\nmailto:[EMAIL] hoặc [PHONE]. CCCD: [ID_NUMBER] .") and red[2] is None and red[3] == "" and "406140700732" in red[1]
     assert pii.find(df.limit(0)).count() == 0
+
+
+def test_peak_of_few_tokens_is_their_mean():
+    assert toxicity.peak(np.array([0.9])) == 0.9 and toxicity.peak(np.array([0.9, 0.5])) == pytest.approx(0.7)
+    assert toxicity.peak(np.array([])) == 0.0 and toxicity.peak(np.array([0.0, 1.0, 1.0, 1.0, 1.0])) == 1.0
+
+
+@pytest.mark.skipif(not os.path.exists(LABELS), reason="no test data")
+def test_an_insult_of_two_words_is_flagged(spark):
+    df = spark.createDataFrame([("b", "đồ ngu"), ("c", "cảm ơn"), ("d", "rồi")], "item_id string, transcript_raw string")
+    assert {r["item_id"] for r in toxicity.score(df, spark.read.parquet(LABELS)).where("kind is not null").collect()} == {"b"}
