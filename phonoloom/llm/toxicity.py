@@ -221,7 +221,7 @@ def score(df: DataFrame, labels: DataFrame, key: str = "item_id", text: str = "t
             for x, p in zip(texts, field.marginals(words, sequences)):
                 bad = 1.0 - p[:, 0]
                 s = peak(bad)
-                per = [peak(p[:, k]) for k in (1, 2, 3)] if s > 0.02 else [0.0, 0.0, 0.0]
+                per = [peak(p[:, k]) for k in (1, 2, 3)]
                 best.append(round(s, 6))
                 by_kind.append([round(v, 6) for v in per])
                 kinds.append(LABELS[1 + int(np.argmax(per))] if s >= CUT else None)

@@ -122,3 +122,10 @@ def test_peak_of_few_tokens_is_their_mean():
 def test_an_insult_of_two_words_is_flagged(spark):
     df = spark.createDataFrame([("b", "đồ ngu"), ("c", "cảm ơn"), ("d", "rồi")], "item_id string, transcript_raw string")
     assert {r["item_id"] for r in toxicity.score(df, spark.read.parquet(LABELS)).where("kind is not null").collect()} == {"b"}
+
+
+@pytest.mark.skipif(not os.path.exists(LABELS), reason="no test data")
+def test_clean_rows_have_the_scores_of_each_kind(spark):
+    df = spark.createDataFrame([("d", "rồi")], "item_id string, transcript_raw string")
+    r = toxicity.score(df, spark.read.parquet(LABELS)).first()
+    assert 0 < r["score"] <= 0.02 and r["p_abusive"] + r["p_hateful"] + r["p_sexual"] == pytest.approx(r["score"], abs=3e-6)
