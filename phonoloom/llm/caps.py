@@ -82,5 +82,5 @@ def beyond_cap(df: DataFrame, keep: int, contributor: Column, item_id: str = "it
 
 def within_share(df: DataFrame, share: float, contributor: Column, item_id: str = "item_id", score: str = "snr_estimate_db") -> DataFrame:
     """As :func:`beyond_cap`, where no contributor may have more than ``share`` of all records before the cut."""
-    n = df.where(F.col(item_id).isNotNull()).agg(F.approx_count_distinct(item_id, 0.01)).first()[0]
+    n = df.where(F.col(item_id).isNotNull()).select(item_id).distinct().count()
     return beyond_cap(df, max(1, int(n * share)), contributor, item_id, score)

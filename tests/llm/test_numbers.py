@@ -110,3 +110,10 @@ def test_schedule_moves_sources_in_time(spark):
     mixed, _ = mixing.mix(documents, targets, schedule=late)
     means = {r["source"]: r["m"] for r in mixed.groupBy("source").agg(F.avg("position").alias("m")).collect()}
     assert means["a"] < means["b"]
+
+
+def test_share_of_exactly_counted_records(spark):
+    df = spark.range(5000).selectExpr("lpad(id, 5, '0') item_id", "cast(id % 977 as double) snr_estimate_db", "'x' uploader").unionAll(spark.createDataFrame([("00001", 1.0, "x"), (None, 9.0, "x")], "item_id string, snr_estimate_db double, uploader string"))
+    order = sorted(range(5000), key=lambda i: (-(i % 977), i))
+    got = {r["item_id"] for r in caps.within_share(df, 0.5, F.col("uploader")).collect()}
+    assert got == {f"{i:05d}" for i in order[2500:]}
