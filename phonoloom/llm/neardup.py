@@ -1,12 +1,13 @@
 """Problem 6: records whose texts differ by small edits, by a prefix-tree join of n-gram sets.
 
 A plain prefix tree over all sets, or prefix lists of single n-grams, grow with the square of a corpus that keeps
-using the same phrases. So pairs first have to agree on a stretch of the trees' paths: sets are written in one global
-order (by hash), and if two sets are similar enough, the merged order must hold neighbours that are neighbours in both.
-With sizes a and b, overlap o >= t/(1+t)(a+b) and d = a+b-2o strangers cut the merged order into d+1 stretches at most,
-which leaves at least o-d-1 shared neighbour pairs. These pairs are far rarer than n-grams. They are ordered by rarity,
-and only so many of a set's rarest are looked up that a similar set must hold one of them. What meets there is bounded
-by a bitmap of the sets, and what is left is decided by the prefix tree over the words themselves.
+using the same phrases. So the trees are partitioned by their edges: sets are written in one global order (by hash),
+and if two sets are similar enough, the merged order must hold neighbours that are neighbours in both. With sizes a and
+b, overlap o >= t/(1+t)(a+b) and d = a+b-2o strangers cut the merged order into d+1 stretches at most, which leaves at
+least o-d-1 shared neighbour pairs. These pairs are far rarer than n-grams. They are ordered by how many sets hold them
+(a table of counters of fixed size), and only so many of a set's rarest are looked up that a similar set must hold one.
+Sets that meet at an edge are bounded by their sizes and a bitmap; every pair that is left is decided in a prefix tree
+of the partners' whole sets, in the global order, with bounds on what a branch can still bring.
 """
 
 from __future__ import annotations
@@ -25,20 +26,24 @@ from phonoloom.operators.components import connected_components
 from phonoloom.plans.cluster import stored
 
 WORD = re.compile(r"[^\W_]+")
-#: Counters of neighbour pairs, of one byte. Too few only cost look-ups, never a pair.
-COUNTERS, SLICES = 1 << 26, 256
+#: Counters of edges, a byte each: 16 MB at most are sent to the tasks, whatever the input. Too few only cost look-ups.
+COUNTERS, SLICES = 1 << 24, 64
+#: An edge held by more sets than this is met in blocks of about so many sets, two by two.
+HOT = 4096
 #: Records of one text, byte by byte, are written out in all pairs up to this many pairs; more of them as pairs with their smallest.
 EXPAND = 4096
 #: Records of a set that meet those of another in one piece, about.
 BLOCK = 64
-#: So few partners are compared one by one: a tree costs more than it shares.
-FEW = 6
-#: Keys that are sent to every task at most, some 30 MB.
-BROADCAST_KEYS = 400_000
+#: Texts that are read again are named to the scan by broadcast up to this many bytes, else by a shuffle.
+BROADCAST_BYTES, BYTES_A_ROW = 8 << 20, 32
 BITS = ("bits0", "bits1", "bits2")
 #: Bits of an n-gram's hash. Texts of an Arrow batch are numbered in the other 20.
 GRAM_BITS = np.uint64(44)
 GRAM_MASK = (np.uint64(1) << GRAM_BITS) - np.uint64(1)
+#: Bits of an edge's hash.
+EDGE_BITS = np.uint64(40)
+#: The size of a set stands below; of an edge in blocks, bit 29 marks the first block's sets and bit 30 the second's.
+SIDES = 29
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -48,13 +53,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Sets:
-    """n-gram sets of a batch of texts: ``grams`` in the global order, text by text, ``sizes``, and ``row`` of each."""
+    """n-gram sets of a batch of texts: ``grams`` in the global order, text by text, ``sizes``, and ``rows`` of each.
+    The order is that of the n-grams' hashes; their 44 bits also tell them apart.
 
-    def __init__(self, texts: list, n: int, least_words: int, numbers: dict[str, int]):
-        words, lengths, rows = [], [], []
+    Texts with fewer than ``least_words`` words have no set, or with ``short`` one n-gram of all their words.
+    """
+
+    def __init__(self, texts: list, n: int, least_words: int, numbers: dict[str, int], short: bool = False):
+        words, lengths, rows, least = [], [], [], max(least_words, n)
         for row, text in enumerate(texts):
             own = WORD.findall(text.lower()) if text else []
-            if len(own) >= max(least_words, n):
+            if len(own) < least and own and short:
+                own = ["\0" + " ".join(own)] * n
+            if len(own) >= (n if short else least):
                 words += own
                 lengths.append(len(own))
                 rows.append(row)
@@ -106,16 +117,55 @@ class Sets:
         return np.packbits(flags, axis=1, bitorder="little").view(np.int64)
 
 
-def _parsed(batch: pa.RecordBatch, column: int, n: int, least: int, numbers: dict, seen: set) -> tuple[Sets, np.ndarray, np.ndarray]:
-    """Sets of a batch, their numbers, and which of them this task sees for the first time."""
-    sets = Sets(batch.column(column).to_pylist(), n, least, numbers)
-    ids = sets.ids()
+def _code(counts: np.ndarray) -> np.ndarray:
+    """Counts as a byte: exact up to 16, from there on eighths of powers of two, rounded up."""
+    with np.errstate(divide="ignore"):
+        above = 16 + np.ceil(8 * np.log2(np.maximum(counts, 1) / 16.0) - 1e-9)
+    return np.where(counts <= 16, counts, np.minimum(above, 255)).astype(np.uint8)
+
+
+def _count(codes: np.ndarray) -> np.ndarray:
+    """The largest count with this code."""
+    c = codes.astype(np.float64)
+    return np.where(c <= 16, c, np.floor(16 * np.exp2((c - 16) / 8) + 1e-6)).astype(np.int64)
+
+
+def _packed(codes: np.ndarray) -> bytes | None:
+    """A slice's counters above zero: steps from one to the next, and codes."""
+    at = np.flatnonzero(codes)
+    steps = np.diff(at, prepend=0).astype("<u4").tobytes()
+    return zlib.compress(np.frombuffer(steps, np.uint8).reshape(-1, 4).T.tobytes() + codes[at].tobytes(), 1) if len(at) else None
+
+
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(places, codes) of a packed slice."""
+    data = np.frombuffer(zlib.decompress(raw), np.uint8)
+    n = len(data) // 5
+    steps = np.ascontiguousarray(data[: 4 * n].reshape(4, n).T).view("<u4").ravel()
+    return np.cumsum(steps.astype(np.int64)), data[4 * n :]
+
+
+def _edges(sets: Sets, fresh: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(edge, owner) of the fresh sets: their neighbour pairs, and the n-grams of those that are too small for pairs to
+    be certain."""
+    pair, owner = sets.neighbours()
+    use = fresh[owner]
+    edge, owner = pair[use] >> (np.uint64(64) - EDGE_BITS), owner[use]
+    small = (fresh & (sets.sizes <= _small(threshold)))[sets.owner]
+    if small.any():
+        edge = np.concatenate([edge, _mix(sets.grams[small] * _M1) >> (np.uint64(64) - EDGE_BITS)])
+        owner = np.concatenate([owner, sets.owner[small]])
+    return edge, owner
+
+
+def _fresh(ids: np.ndarray, seen: set) -> np.ndarray:
+    """Which sets this task sees for the first time."""
     fresh = np.zeros(len(ids), dtype=bool)
     for k, i in enumerate(ids.tolist()):
         if i not in seen:
             seen.add(i)
             fresh[k] = True
-    return sets, ids, fresh
+    return fresh
 
 
 def _least_shared(size: np.ndarray, t: float) -> np.ndarray:
@@ -128,143 +178,156 @@ def _least_shared(size: np.ndarray, t: float) -> np.ndarray:
     return np.ceil(overlap - (whole - 2 * overlap) - 1 - 1e-9)
 
 
-def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: float = 0.6, least_words: int = 40) -> tuple[DataFrame, DataFrame]:
+def _meet(edge: np.ndarray, set_id: np.ndarray, size: np.ndarray, bits: list[np.ndarray], t: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets that stand at the same edge, as far as their sizes and bitmaps allow the threshold. Rows come by edge."""
+    side, size = size >> SIDES, (size & ((1 << SIDES) - 1)).astype(np.int64)
+    ends = np.flatnonzero(np.append(edge[1:] != edge[:-1], True)) + 1
+    end_of = np.repeat(ends, np.diff(ends, prepend=0))
+    left, right, at, step = [], [], np.arange(len(edge)), 1
+    while len(at := at[end_of[at] > at + step]):
+        with_ = at + step
+        a, b = size[at], size[with_]
+        ok = (a >= b * t - 1e-6) & (b >= a * t - 1e-6) & (set_id[at] != set_id[with_])
+        ok &= (side[at] == 0) | (side[at] != side[with_])
+        i, j = at[ok], with_[ok]
+        strangers = sum(np.bitwise_count((x[i] ^ x[j]).view(np.uint64)).astype(np.int64) for x in bits)
+        ok = strangers <= (size[i] + size[j]) * ((1 - t) / (1 + t)) + 1e-6
+        i, j = i[ok], j[ok]
+        left.append(np.minimum(set_id[i], set_id[j]))
+        right.append(np.maximum(set_id[i], set_id[j]))
+        step += 1
+    if not left:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    both = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], axis=1), axis=0)
+    return both[:, 0], both[:, 1]
+
+
+def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: float = 0.6, least_words: int = 40, short: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members: key, set_id, text_id), (pairs: set_a, set_b): all sets with their records and the numbers of their texts,
     all pairs of similar sets.
 
     Sets are those of n successive words (runs of letters and digits, without case) of texts with at least
-    ``least_words`` words; similar is a Jaccard index of at least ``threshold`` (above 0.5). Equal sets are one.
+    ``least_words`` words; with ``short``, shorter texts have one n-gram of all their words. Similar is a Jaccard index of
+    at least ``threshold`` (above 0.5). Equal sets are one.
     """
     if threshold <= 0.5:
         raise ValueError("neighbours are only certain above 0.5")
     spark = df.sparkSession
-    rows = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
-    numbered = rows.withColumn("text_id", F.xxhash64(text))
+    rows = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text, F.xxhash64(text).alias("text_id"))
     kind = rows.schema[key].dataType.simpleString()
     width = COUNTERS // SLICES
 
-    def packed(part: np.ndarray) -> bytes | None:
-        """A slice's counters above zero: steps from one to the next, and counts."""
-        at = np.flatnonzero(part)
-        steps = np.diff(at, prepend=0).astype("<u4").tobytes()
-        return zlib.compress(np.frombuffer(steps, np.uint8).reshape(-1, 4).T.tobytes() + part[at].tobytes(), 1) if len(at) else None
-
-    def unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """(places, counts) of a packed slice."""
-        data = np.frombuffer(zlib.decompress(raw), np.uint8)
-        n = len(data) // 5
-        steps = np.ascontiguousarray(data[: 4 * n].reshape(4, n).T).view("<u4").ravel()
-        return np.cumsum(steps.astype(np.int64)), data[4 * n :]
-
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, numbers, seen = np.zeros(COUNTERS, dtype=np.uint8), {}, set()
-        names, any_row = [key, "set_id", "text_id", "slice", "counts"], False
+        counts, numbers, seen, kinds = np.zeros(COUNTERS, dtype=np.uint32), {}, set(), None
+        names = [key, "set_id", "text_id", "slice", "counts"]
         for batch in batches:
-            sets, ids, fresh = _parsed(batch, 1, n, least_words, numbers, seen)
-            pair, owner = sets.neighbours()
-            at, c = np.unique((pair[fresh[owner]] >> np.uint64(12)) % np.uint64(COUNTERS), return_counts=True)
-            at = at.astype(np.int64)
-            counts[at] = np.minimum(counts[at].astype(np.int64) + c, 255).astype(np.uint8)
-            any_row = any_row or len(at) > 0
-            at = pa.array(sets.rows)
-            keys, of = batch.column(0).take(at), batch.column(2).take(at)
-            nothing = pa.nulls(len(ids))
-            yield pa.RecordBatch.from_arrays([keys, pa.array(ids), of, nothing.cast(pa.int32()), nothing.cast(pa.binary())], names=names)
-        if any_row:
-            kinds = keys.type
-            for k in range(SLICES):
-                raw = packed(counts[k * width : (k + 1) * width])
-                if raw:
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([raw], pa.binary())], names=names)
-
-    seen_once = stored(numbered.mapInArrow(survey, f"`{key}` {kind}, set_id bigint, text_id bigint, slice int, counts binary"), "p6-survey")
+            kinds = batch.column(0).type
+            sets = Sets(batch.column(1).to_pylist(), n, least_words, numbers, short)
+            ids = sets.ids()
+            edge, _ = _edges(sets, _fresh(ids, seen), threshold)
+            np.add.at(counts, (edge % np.uint64(COUNTERS)).astype(np.int64), np.uint32(1))
+            at, nothing = pa.array(sets.rows), pa.nulls(len(ids))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(ids), batch.column(2).take(at), nothing.cast(pa.int32()), nothing.cast(pa.binary())], names=names)
+        for k in range(SLICES if kinds else 0):
+            raw = _packed(_code(counts[k * width : (k + 1) * width]))
+            if raw:
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([raw], pa.binary())], names=names)
+
+    seen_once = stored(rows.mapInArrow(survey, f"`{key}` {kind}, set_id bigint, text_id bigint, slice int, counts binary"), "p6-survey")
     members = stored(seen_once.where("slice is null").select(key, "set_id", "text_id").distinct(), "p6-members")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                at, n_ = unpacked(raw)
-                part = sums.setdefault(k, np.zeros(width, dtype=np.uint8))
-                part[at] = np.minimum(part[at].astype(np.uint16) + n_, 255).astype(np.uint8)
+                at, codes = _unpacked(raw)
+                sums.setdefault(k, np.zeros(width, dtype=np.int64))[at] += _count(codes)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([packed(s) for s in sums.values()], pa.binary())], names=["slice", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([_packed(_code(s)) for s in sums.values()], pa.binary())], names=["slice", "counts"])
 
-    # a table of fixed size, whatever the input
+    # a table of fixed size: COUNTERS bytes and steps at most, whatever the input
     slices = seen_once.where("slice is not null").select("slice", "counts").repartition("slice").mapInArrow(add, "slice int, counts binary").collect()
     held = spark.sparkContext.broadcast({r["slice"]: bytes(r["counts"]) for r in slices})
 
     def look_ups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, numbers, seen = np.zeros(COUNTERS, dtype=np.uint8), {}, set()
+        codes, numbers, seen = np.zeros(COUNTERS, dtype=np.uint8), {}, set()
         for k, raw in held.value.items():
-            at, n_ = unpacked(raw)
-            counts[k * width + at] = n_
+            at, c = _unpacked(raw)
+            codes[k * width + at] = c
         for batch in batches:
-            sets, ids, fresh = _parsed(batch, 0, n, least_words, numbers, seen)
-            if not len(ids):
+            sets = Sets(batch.column(0).to_pylist(), n, least_words, numbers, short)
+            ids = sets.ids()
+            edge, owner = _edges(sets, _fresh(ids, seen), threshold)
+            if not len(edge):
                 continue
-            pair, owner = sets.neighbours()
-            use = fresh[owner]
-            pair, owner = pair[use], owner[use]
-            rarity = counts[((pair >> np.uint64(12)) % np.uint64(COUNTERS)).astype(np.int64)].astype(np.uint64)
-            # set, rarity and 36 bits of the pair in one number; the last two are the sign that is looked up
-            ordered = np.sort((owner.astype(np.uint64) << GRAM_BITS) | (rarity << np.uint64(36)) | (pair >> np.uint64(28)))
-            owner, pair = (ordered >> GRAM_BITS).astype(np.int64), ordered & GRAM_MASK
+            rarity = codes[(edge % np.uint64(COUNTERS)).astype(np.int64)]
+            # neighbour pairs by set and rarity; of sets with n-grams among them all are looked up
+            order = np.lexsort((edge, rarity, owner))
+            edge, owner, rarity = edge[order], owner[order], rarity[order]
             per = np.bincount(owner, minlength=len(ids))
-            rank = np.arange(len(pair)) - np.repeat(np.cumsum(per) - per, per)
-            certain = _least_shared(sets.sizes.astype(float), threshold)
-            keep = (rank < (per - np.maximum(certain, 1) + 1)[owner]) & (pair >> np.uint64(36) > 1)
-            pair, owner = pair[keep], owner[keep]
-            # sets too small to be certain of a shared pair are looked up by their n-grams as well
-            small = fresh & (sets.sizes <= _small(threshold))
-            if small.any():
-                own = small[sets.owner]
-                extra, who = sets.grams[own] | (np.uint64(1) << np.uint64(60)), sets.owner[own]
-                pair, owner = np.concatenate([pair, extra]), np.concatenate([owner, who])
-                order = np.argsort(owner, kind="stable")
-                pair, owner = pair[order], owner[order]
+            rank = np.arange(len(edge)) - np.repeat(np.cumsum(per) - per, per)
+            certain = np.where(sets.sizes <= _small(threshold), 1, np.maximum(_least_shared(sets.sizes.astype(float), threshold), 1))
+            keep = (rank < (per - certain + 1)[owner]) & (rarity > 1)
+            edge, owner, rarity = edge[keep], owner[keep], rarity[keep]
+            size = sets.sizes[owner]
+            hot = rarity > _HOT_CODE
+            if hot.any():
+                edge, owner, size = _in_blocks(edge, owner, size, ids[owner], np.where(hot, -(-_count(rarity) // HOT), 1))
             bits = sets.bitmaps()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[owner]), pa.array(sets.sizes[owner].astype(np.int32)), *[pa.array(bits[owner, k]) for k in range(len(BITS))], pa.array(pair.view(np.int64))],
-                names=["set_id", "size", *BITS, "sign"],
-            )
-
-    signs = rows.select(text).mapInArrow(look_ups, "set_id bigint, size int, bits0 bigint, bits1 bigint, bits2 bigint, sign bigint")
-    t = threshold
-    a, b = signs.alias("a"), signs.alias("b")
-    strangers = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in BITS), F.lit(0))
-    meet = (
-        (F.col("a.sign") == F.col("b.sign"))
-        & (F.col("a.set_id") < F.col("b.set_id"))
-        & (strangers <= (F.col("a.size") + F.col("b.size")) * F.lit((1 - t) / (1 + t)) + F.lit(1e-6))
-        & (F.col("a.size") >= F.col("b.size") * F.lit(t) - F.lit(1e-6))
-        & (F.col("b.size") >= F.col("a.size") * F.lit(t) - F.lit(1e-6))
-    )
-    # wider partitions than usual: rows of one set that travel together are compressed together
-    usual = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(max(1, int(usual) // 2)))
-    try:
-        candidates = stored(a.join(b, meet).select(F.col("a.set_id").alias("set_a"), F.col("b.set_id").alias("set_b")).distinct(), "p6-candidates")
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", usual)
+            yield pa.RecordBatch.from_arrays([pa.array(edge.view(np.int64)), pa.array(ids[owner]), pa.array(size.astype(np.int32)), *[pa.array(bits[owner, k]) for k in range(len(BITS))]], names=["edge", "set_id", "size", *BITS])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[list[np.ndarray]] = []
+
+        def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
+            a, b = _meet(columns[0], columns[1], columns[2], columns[3:], threshold)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["set_a", "set_b"])
+
+        for batch in batches:
+            kept.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            if sum(len(c[0]) for c in kept) < 100_000:
+                continue
+            columns = [np.concatenate(c) for c in zip(*kept)]
+            # the last edge may go on in the next batch
+            whole = int(np.searchsorted(columns[0], columns[0][-1]))
+            kept = [[c[whole:] for c in columns]]
+            yield pairs([c[:whole] for c in columns])
+        if kept:
+            yield pairs([np.concatenate(c) for c in zip(*kept)])
+
+    edges = rows.select(text).mapInArrow(look_ups, "edge bigint, set_id bigint, size int, bits0 bigint, bits1 bigint, bits2 bigint")
+    candidates = stored(edges.repartition("edge").sortWithinPartitions("edge").mapInArrow(meet, "set_a bigint, set_b bigint").distinct(), "p6-candidates")
     wanted = candidates.select(F.explode(F.array("set_a", "set_b")).alias("set_id")).distinct()
-    owners = members.join(wanted, "set_id").groupBy("set_id").agg(F.min(F.struct(key, "text_id")).alias("_o"))
-    owners = stored(owners.select("set_id", f"_o.{key}", "_o.text_id"), "p6-owners")
-    # few keys go to the texts; where there are many, texts and keys are shuffled
-    held_keys = F.broadcast(owners) if owners.count() <= BROADCAST_KEYS else owners
-    # a key may have other texts than the one of this set
-    found = rows.join(held_keys, key).where(F.xxhash64(text) == F.col("text_id")).groupBy("set_id", key).agg(F.min(text).alias("_text"))
-    texts = stored(found.select("set_id", "_text"), "p6-texts")
+    owners = stored(members.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("text_id").alias("text_id")), "p6-owners")
+    again = F.broadcast(owners) if owners.count() * BYTES_A_ROW <= BROADCAST_BYTES else owners
+    texts = stored(rows.select("text_id", text).join(again, "text_id").groupBy("set_id").agg(F.min(text).alias("_text")), "p6-texts")
     both = candidates.join(texts.select(F.col("set_id").alias("set_a"), F.col("_text").alias("text_a")), "set_a").join(texts.select(F.col("set_id").alias("set_b"), F.col("_text").alias("text_b")), "set_b")
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: dict[str, int] = {}
         for batch in batches:
-            yield _decide(batch, n, threshold)
+            yield _decide(batch, n, least_words, threshold, short, numbers)
 
     pairs = both.repartitionByRange("set_a", "set_b").sortWithinPartitions("set_a", "set_b").select("set_a", "set_b", "text_a", "text_b").mapInArrow(decide, "set_a bigint, set_b bigint")
     return members, pairs
 
 
+_HOT_CODE = int(_code(np.array([HOT]))[0])
+
+
+def _in_blocks(edge: np.ndarray, owner: np.ndarray, size: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of an edge that stands in several blocks, once for each block they meet, their own among them. Every two
+    blocks have an edge of their own, on which only the two meet each other."""
+    row = np.repeat(np.arange(len(edge)), blocks)
+    other = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    with np.errstate(over="ignore"):
+        own = ((_mix(ids.view(np.uint64) * _M1) >> np.uint64(20)) % blocks.astype(np.uint64)).astype(np.int64)[row]
+        low, high = np.minimum(own, other), np.maximum(own, other)
+        salted = _mix((edge[row] * _M1 + low.astype(np.uint64)) * _M1 + high.astype(np.uint64)) >> (np.uint64(64) - EDGE_BITS)
+    side = np.where(own == other, 0, np.where(own < other, 1, 2))
+    return np.where(blocks[row] > 1, salted, edge[row]), owner[row], size[row] | (side << SIDES)
+
+
 def _small(t: float) -> int:
     """Sets up to this size may have a similar partner with which no shared neighbours are certain: together
     they are below a bound, and the larger has at most 1 / t times the n-grams of the smaller."""
@@ -272,22 +335,6 @@ def _small(t: float) -> int:
     return math.ceil(together / (1 + t)) + 1
 
 
-class WordNumbers(dict):
-    """Numbers of words as they come, so that an n-gram is one exact number."""
-
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        return n
-
-    def grams(self, text: str, n: int) -> set[int]:
-        """The distinct n-grams of a text."""
-        ids = [self[w] for w in WORD.findall(text.lower())]
-        out = ids
-        for k in range(1, n):
-            out = [a << 32 | b for a, b in zip(out, ids[k:])]
-        return set(out)
-
-
 class PrefixTree:
     """Ordered sets as paths; a node knows how long the longest path below it still is, and the smallest set.
 
@@ -333,35 +380,24 @@ class PrefixTree:
         return found
 
 
-def _decide(batch: pa.RecordBatch, n: int, threshold: float) -> pa.RecordBatch:
-    left, right = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-    text_a, text_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-    numbers, kept, k = WordNumbers(), [], 0
-    known: dict[int, set[int]] = {}
-
-    def grams(name: int, text: str) -> set[int]:
-        if name not in known:
-            known[name] = numbers.grams(text, n)
-        return known[name]
-
-    while k < len(left):
-        end, probe = k + 1, grams(left[k], text_a[k])
-        while end < len(left) and left[end] == left[k]:
-            end += 1
-        if end <= k + FEW:
-            for i in range(k, end):
-                other = grams(right[i], text_b[i])
-                overlap = len(probe & other)
-                if overlap >= threshold * (len(probe) + len(other) - overlap) - 1e-9:
-                    kept.append(i)
-        else:
-            tree = PrefixTree()
-            for i in range(k, end):
-                tree.add(sorted(grams(right[i], text_b[i])), i)
-            kept += tree.similar(sorted(probe), threshold)
-        k = end
+def _decide(batch: pa.RecordBatch, n: int, least_words: int, threshold: float, short: bool, numbers: dict[str, int]) -> pa.RecordBatch:
+    """The pairs of a batch that are similar: the partners of each left set are a prefix tree, which it goes down."""
+    left, right = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    names, at = np.unique(np.concatenate([left, right]), return_index=True)
+    texts = pa.concat_arrays([batch.column(2), batch.column(3)]).take(pa.array(at)).to_pylist()
+    sets = Sets(texts, n, least_words, numbers, short)
+    grams, begins = sets.grams.tolist(), (sets.ends - sets.sizes).tolist()
+    ends, place, kept = sets.ends.tolist(), np.searchsorted(names[sets.rows], np.stack([left, right])), []
+    first = np.flatnonzero(np.append(True, left[1:] != left[:-1])) if len(left) else np.zeros(0, np.int64)
+    for k, end in zip(first.tolist(), [*first[1:].tolist(), len(left)]):
+        tree = PrefixTree()
+        for i in range(k, end):
+            j = place[1, i]
+            tree.add(grams[begins[j] : ends[j]], i)
+        j = place[0, k]
+        kept += tree.similar(grams[begins[j] : ends[j]], threshold)
     kept.sort()
-    return pa.RecordBatch.from_arrays([pa.array([left[i] for i in kept], pa.int64()), pa.array([right[i] for i in kept], pa.int64())], names=["set_a", "set_b"])
+    return pa.RecordBatch.from_arrays([pa.array(left[kept], pa.int64()), pa.array(right[kept], pa.int64())], names=["set_a", "set_b"])
 
 
 def near_copies(df: DataFrame, key: str = "item_id", text: str = "transcript_raw", n: int = 3, threshold: float = 0.6, least_words: int = 40) -> DataFrame:
@@ -422,10 +458,14 @@ def exact_copies(df: DataFrame, key: str = "item_id", text: str = "transcript_ra
 
 
 def copy_groups(df: DataFrame, key: str = "item_id", text: str = "transcript_raw", n: int = 5, threshold: float = 0.8, least_words: int = 5) -> DataFrame:
-    """(key, group_id, n_links): every record that has a text of at least ``least_words`` words, the smallest key of the
-    records it is linked with through similar texts (itself, if none), and the number of other records it is
-    similar to."""
-    members, pairs = similar_sets(df, key, text, n, threshold, least_words)
+    """(key, group_id, n_links): every key, the smallest key of the records it is linked with through similar texts
+    (itself, if none), and the number of other records it is similar to.
+
+    A text of fewer than ``least_words`` words is one n-gram, so that it is similar to those with the same words only.
+    Records whose texts have no words, empty and null ones among them, are groups of their own with 0 links; null keys
+    have no row. A key with several texts is in the group of the smallest key any of them leads to.
+    """
+    members, pairs = similar_sets(df, key, text, n, threshold, least_words, short=True)
     members = members.select(key, "set_id").distinct()
     pairs = stored(pairs, "p6-pairs")
     labels = connected_components(pairs, "set_a", "set_b")
@@ -436,4 +476,6 @@ def copy_groups(df: DataFrame, key: str = "item_id", text: str = "transcript_raw
     named = named.join(others, "set_id", "left").withColumn("_links", F.col("_m") - 1 + F.coalesce("_others", F.lit(0)))
     at = members.join(named, "set_id")
     heads = at.groupBy("_class").agg(F.min(key).alias("group_id"))
-    return at.join(heads, "_class").groupBy(key).agg(F.min("group_id").alias("group_id"), F.max("_links").alias("n_links"))
+    grouped = at.join(heads, "_class").groupBy(key).agg(F.min("group_id").alias("group_id"), F.max("_links").alias("n_links"))
+    every = df.where(F.col(key).isNotNull()).select(key).distinct()
+    return every.join(grouped, key, "left").select(key, F.coalesce("group_id", F.col(key)).alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
