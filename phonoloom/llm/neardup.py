@@ -204,7 +204,7 @@ def _meet(edge: np.ndarray, set_id: np.ndarray, size: np.ndarray, bits: list[np.
 
 def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: float = 0.6, least_words: int = 40, short: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members: key, set_id, text_id), (pairs: set_a, set_b): all sets with their records and the numbers of their texts,
-    all pairs of similar sets.
+    as often as they come, and all pairs of similar sets.
 
     Sets are those of n successive words (runs of letters and digits, without case) of texts with at least
     ``least_words`` words; with ``short``, shorter texts have one n-gram of all their words. Similar is a Jaccard index of
@@ -234,7 +234,7 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([raw], pa.binary())], names=names)
 
     seen_once = stored(rows.mapInArrow(survey, f"`{key}` {kind}, set_id bigint, text_id bigint, slice int, counts binary"), "p6-survey")
-    members = stored(seen_once.where("slice is null").select(key, "set_id", "text_id").distinct(), "p6-members")
+    members = seen_once.where("slice is null").select(key, "set_id", "text_id")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -308,7 +308,8 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
         for batch in batches:
             yield _decide(batch, n, least_words, threshold, short, numbers)
 
-    pairs = both.repartitionByRange("set_a", "set_b").sortWithinPartitions("set_a", "set_b").select("set_a", "set_b", "text_a", "text_b").mapInArrow(decide, "set_a bigint, set_b bigint")
+    # the last join has brought the partners of a right set together
+    pairs = both.sortWithinPartitions("set_b", "set_a").select("set_a", "set_b", "text_a", "text_b").mapInArrow(decide, "set_a bigint, set_b bigint")
     return members, pairs
 
 
@@ -381,20 +382,20 @@ class PrefixTree:
 
 
 def _decide(batch: pa.RecordBatch, n: int, least_words: int, threshold: float, short: bool, numbers: dict[str, int]) -> pa.RecordBatch:
-    """The pairs of a batch that are similar: the partners of each left set are a prefix tree, which it goes down."""
+    """The pairs of a batch that are similar: the partners of each right set are a prefix tree, which it goes down."""
     left, right = batch.column(0).to_numpy(), batch.column(1).to_numpy()
     names, at = np.unique(np.concatenate([left, right]), return_index=True)
     texts = pa.concat_arrays([batch.column(2), batch.column(3)]).take(pa.array(at)).to_pylist()
     sets = Sets(texts, n, least_words, numbers, short)
     grams, begins = sets.grams.tolist(), (sets.ends - sets.sizes).tolist()
     ends, place, kept = sets.ends.tolist(), np.searchsorted(names[sets.rows], np.stack([left, right])), []
-    first = np.flatnonzero(np.append(True, left[1:] != left[:-1])) if len(left) else np.zeros(0, np.int64)
+    first = np.flatnonzero(np.append(True, right[1:] != right[:-1])) if len(left) else np.zeros(0, np.int64)
     for k, end in zip(first.tolist(), [*first[1:].tolist(), len(left)]):
         tree = PrefixTree()
         for i in range(k, end):
-            j = place[1, i]
+            j = place[0, i]
             tree.add(grams[begins[j] : ends[j]], i)
-        j = place[0, k]
+        j = place[1, k]
         kept += tree.similar(grams[begins[j] : ends[j]], threshold)
     kept.sort()
     return pa.RecordBatch.from_arrays([pa.array(left[kept], pa.int64()), pa.array(right[kept], pa.int64())], names=["set_a", "set_b"])
@@ -413,7 +414,7 @@ def near_copies(df: DataFrame, key: str = "item_id", text: str = "transcript_raw
     # most sets stand alone: only those with a copy or a partner go on
     copies = members.groupBy("set_id").agg(F.count("*").alias("_m")).where("_m > 1").select("set_id")
     involved = copies.unionByName(pairs.select(F.explode(F.array("set_a", "set_b")).alias("set_id"))).distinct()
-    members = stored(members.join(involved, "set_id", "left_semi"), "p6-involved")
+    members = stored(members.join(involved, "set_id", "left_semi").distinct(), "p6-involved")
     texts = members.groupBy("set_id", "text_id").agg(F.count("*").alias("_n"), F.min(key).alias("_least"))
     large = texts.where(F.col("_n") * F.col("_n") > EXPAND)
     star = members.join(large, ["set_id", "text_id"]).select(F.col("_least").alias("x"), F.col(key).alias("y"))
