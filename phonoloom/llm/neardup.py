@@ -26,8 +26,8 @@ from phonoloom.operators.components import connected_components
 from phonoloom.plans.cluster import stored
 
 WORD = re.compile(r"[^\W_]+")
-#: Counters of edges, a byte each: 16 MB at most are sent to the tasks, whatever the input. Too few only cost look-ups.
-COUNTERS, SLICES = 1 << 24, 64
+#: Counters of edges, a byte each: 32 MB at most are sent to the tasks, whatever the input. Too few only cost look-ups.
+COUNTERS, SLICES = 1 << 25, 64
 #: An edge held by more sets than this is met in blocks of about so many sets, two by two.
 HOT = 4096
 #: Records of one text, byte by byte, are written out in all pairs up to this many pairs; more of them as pairs with their smallest.
