@@ -134,7 +134,7 @@ def _packed(codes: np.ndarray) -> bytes | None:
     """A slice's counters above zero: steps from one to the next, and codes."""
     at = np.flatnonzero(codes)
     steps = np.diff(at, prepend=0).astype("<u4").tobytes()
-    return zlib.compress(np.frombuffer(steps, np.uint8).reshape(-1, 4).T.tobytes() + codes[at].tobytes(), 1) if len(at) else None
+    return zlib.compress(np.frombuffer(steps, np.uint8).reshape(-1, 4).T.tobytes() + codes[at].tobytes(), 6) if len(at) else None
 
 
 def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -246,7 +246,8 @@ def similar_sets(df: DataFrame, key: str, text: str, n: int = 3, threshold: floa
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([_packed(_code(s)) for s in sums.values()], pa.binary())], names=["slice", "counts"])
 
     # a table of fixed size: COUNTERS bytes and steps at most, whatever the input
-    slices = seen_once.where("slice is not null").select("slice", "counts").repartition("slice").mapInArrow(add, "slice int, counts binary").collect()
+    parts = seen_once.where("slice is not null").select("slice", "counts").mapInArrow(add, "slice int, counts binary")
+    slices = parts.repartition("slice").mapInArrow(add, "slice int, counts binary").collect()
     held = spark.sparkContext.broadcast({r["slice"]: bytes(r["counts"]) for r in slices})
 
     def look_ups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
