@@ -25,6 +25,24 @@ def day_folder(day: Column, quarantine: bool = False) -> Column:
     return F.concat(F.lit("Week"), week_number(day).cast("string"), F.lit("/"), F.date_format(day, "yyyy-MM-dd"), F.lit("/quarantine" if quarantine else "/audio"))
 
 
+def iso_local(at: Column) -> Column:
+    """``YYYY-MM-DDTHH:MM:SS+07:00`` of a UTC timestamp."""
+    return F.concat(F.date_format(local_time(at), "yyyy-MM-dd'T'HH:mm:ss"), F.lit(f"+{OFFSET_HOURS:02d}:00"))
+
+
+def iso_of_epoch(seconds: Column) -> Column:
+    """The same of seconds since 1970."""
+    return iso_local(F.timestamp_seconds(seconds))
+
+
+def week_of_path(path: Column, ranges: list[tuple[str, str, int]]) -> Column:
+    """The week a path tells: ``Week<n>`` in it, else that of the first range (first day, last day, week) in which the
+    first date in it lies; null if neither tells."""
+    day = F.nullif(F.regexp_extract(path, r"(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
+    named = F.nullif(F.regexp_extract(path, r"Week(\d+)", 1), F.lit("")).cast("int")
+    return F.coalesce(named, *[F.when(day.between(a, z), F.lit(w)) for a, z, w in ranges])
+
+
 def subtitle_time(seconds: Column) -> Column:
     """``HH:MM:SS,mmm``; milliseconds are cut, not rounded. Null, NaN and negative seconds give null."""
     ms = F.floor(seconds * 1000).cast("bigint")

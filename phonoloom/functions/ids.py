@@ -72,18 +72,23 @@ def addresses_in(text: Column, hosts: tuple[str, ...]) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"(?i)(https?://(?:[a-z]+\.)?(?:{names})/[^\x{{09}}-\x{{0d}}\x{{20}}]+)"), F.lit(1))
 
 
+# How a page names videos, in order of preference.
+PAGE_PATTERNS = [r"/@[A-Za-z0-9._%-]+/video/(\d{8,19})", r"/video/(\d{15,})", r'"id"\s*:\s*"(\d{15,})"']
+
+
 def page_links(html: Column) -> Column:
     """Video numbers of a page, each once in the order of first sight: those of the first of three patterns that
     gives any (handle and number, number alone, id in embedded JSON)."""
     text = F.replace(html, F.lit("\\/"), F.lit("/"))
-    tries = [F.array_distinct(F.regexp_extract_all(text, F.lit(p), F.lit(1))) for p in (r"/@[A-Za-z0-9._%-]+/video/(\d{8,19})", r"/video/(\d{15,})", r'"id"\s*:\s*"(\d{15,})"')]
+    tries = [F.array_distinct(F.regexp_extract_all(text, F.lit(p), F.lit(1))) for p in PAGE_PATTERNS]
     return F.when(F.size(tries[0]) > 0, tries[0]).when(F.size(tries[1]) > 0, tries[1]).otherwise(tries[2])
 
 
-def page_links_all(html: Column, most: int) -> Column:
-    """Addresses from all patterns of the second platform together, each once, the first ``most``."""
+def page_links_all(html: Column, most: int, reel: str, video: str) -> Column:
+    """Addresses from all patterns of the second platform together, each once, the first ``most``; ``reel`` and ``video``
+    are what stands before the number of either kind."""
     parts = []
     for pattern, kind in FACEBOOK_PATTERNS:
-        head = "https://www.fbclips.example/reel/" if kind == "reel" else "https://www.fbclips.example/watch?v="
+        head = reel if kind == "reel" else video
         parts.append(F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), lambda v, head=head: F.concat(F.lit(head), v)))
     return F.slice(F.array_distinct(F.concat(*parts)), 1, most)

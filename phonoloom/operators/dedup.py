@@ -72,6 +72,14 @@ def latest_status(log: DataFrame, key: str = "url", at: str = "ts") -> DataFrame
     return log.groupBy(key).agg(w).select(key, "_l.status", F.col(f"_l.{at}"), "_l.error")
 
 
+def largest(df: DataFrame, keys: list[str], order: list[Column], k: int, blocks: int = 64) -> DataFrame:
+    """The first ``k`` rows of each key in the given order. The rows of a key are ranked in ``blocks`` parts first and
+    only the first ``k`` of each part go on, so that a key with a third of all rows is ranked by many tasks."""
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(blocks))
+    first = df.withColumn("_part", part).withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))).where(F.col("_n") <= k)
+    return first.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= k).select(*df.columns)
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[str], out: str = "n") -> DataFrame:
     """``df`` with the row's number within its keys."""
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

@@ -8,13 +8,18 @@ from phonoloom.functions.classify import first_failure
 from phonoloom.functions.text import word_count
 
 
-def item_gates() -> Column:
-    """The first gate that an extended record fails, null if it passes all. Unknown measures fail no gate."""
+# The shortest and longest item, and segment, in seconds.
+ITEM_SECONDS, SEGMENT_SECONDS = (5.0, 7200.0), (3.0, 7200.0)
+
+
+def item_gates(seconds: tuple[float, float] = ITEM_SECONDS) -> Column:
+    """The first gate that an extended record fails, null if it passes all. Unknown measures fail no gate. Segments have
+    limits of their own."""
     snr, d = F.nanvl(F.col("snr_db"), F.lit(None)), F.nanvl(F.col("duration_seconds"), F.lit(None))
     return first_failure(
         [
-            (d < 3.0, "too_short"),
-            (d > 7200.0, "too_long"),
+            (d < seconds[0], "too_short"),
+            (d > seconds[1], "too_long"),
             (F.col("music_prob") >= 0.70, "music_quarantine"),
             (F.col("synthetic_prob") > 0.70, "synthetic"),
             (((snr < 12.0) | (F.col("speech_ratio") < 0.25)) & (snr < 10.0), "low_quality"),

@@ -89,13 +89,22 @@ def overlapping(left: DataFrame, right: DataFrame, key: str, bucket: float = 30.
     return both.where(F.col("_b") == F.floor(F.greatest("l_start", "r_start") / bucket)).select(key, "l_start", "l_end", "r_start", "r_end")
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, at: str, value: str) -> DataFrame:
-    """``left`` with the value of the right row of its key with the latest time not after its own.
+def as_of(left: DataFrame, right: DataFrame, key: str, at: str, value: str, bucket: str = "HOUR") -> DataFrame:
+    """``left`` with the value of the right row of its key with the latest time not after its own; times of the right
+    side that equal a left time count.
 
-    Both sides go through one window by key and time, sorted and spilled like any window; times of the right side that
-    equal a left time count.
+    Both sides are cut into buckets of time and go through one window by key and bucket; what a key's earlier buckets
+    end with is a small table of its own, one row a bucket. So a key with a third of all rows is spread over its hours.
     """
-    a = left.select(*left.columns, F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(1).alias("_s"))
-    b = right.select(*[F.col(c) if c in (key, at) else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns], F.col(value).alias("_v"), F.lit(0).alias("_s"))
-    w = Window.partitionBy(key).orderBy(at, "_s").rowsBetween(Window.unboundedPreceding, 0)
-    return a.unionByName(b).withColumn(value, F.last("_v", ignorenulls=True).over(w)).where("_s = 1").select(*left.columns, value)
+    cell = F.date_trunc(bucket, F.col(at))
+    a = left.select(*left.columns, cell.alias("_b"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(1).alias("_s"))
+    b = right.where(F.col(value).isNotNull()).select(*[F.col(c) if c in (key, at) else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns], cell.alias("_b"), F.col(value).alias("_v"), F.lit(0).alias("_s"))
+    w = Window.partitionBy(key, "_b").orderBy(at, "_s").rowsBetween(Window.unboundedPreceding, 0)
+    inside = a.unionByName(b).withColumn("_in", F.last("_v", ignorenulls=True).over(w)).where("_s = 1")
+    ends = b.groupBy(key, "_b").agg(F.max_by("_v", at).alias("_e"))
+    # every bucket of either side, with what the key's buckets before it end with
+    cells = ends.unionByName(a.select(key, "_b", F.lit(None).cast(right.schema[value].dataType).alias("_e")).distinct()).groupBy(key, "_b").agg(F.max("_e").alias("_e"))
+    before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cells.withColumn("_c", F.last("_e", ignorenulls=True).over(before)).select(F.col(key).alias("_k"), F.col("_b").alias("_kb"), "_c")
+    out = inside.join(carried, F.col(key).eqNullSafe(F.col("_k")) & F.col("_b").eqNullSafe(F.col("_kb")), "left")
+    return out.select(*left.columns, F.coalesce("_in", "_c").alias(value))

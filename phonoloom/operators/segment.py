@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 PIECE = "array<struct<start:double,end:double>>"
@@ -24,48 +29,70 @@ def paired_silences(starts: Column, ends: Column) -> Column:
     return F.filter(both, lambda g: g["end"] > g["start"])
 
 
+def _cuts(total: float, mids: np.ndarray, least: float, most: float) -> tuple[list[float], list[float]]:
+    """Starts and ends of an item's pieces, each found by bisection in the ascending silences."""
+    starts, ends, now = [], [], 0.0
+    while total - now > most:
+        k = int(np.searchsorted(mids, now + most, side="right")) - 1
+        cut = float(mids[k]) if k >= 0 and mids[k] >= now + least else now + most
+        starts.append(now)
+        ends.append(cut)
+        now = cut
+    if total - now >= least:
+        starts.append(now)
+        ends.append(total)
+    return starts, ends
+
+
 def greedy_split(total: Column, mids: Column, least: float, most: float) -> Column:
     """Pieces (start, end) of an item of ``total`` seconds: while more than ``most`` is left, cut at the last silence
     between ``least`` and ``most`` from here, or at ``most``; a rest shorter than ``least`` is lost.
 
-    A fold over as many steps as there can be pieces; ends are in thousandths, the place itself isn't rounded. Null,
-    NaN and too short totals give no piece. ``mids`` are ascending.
+    Ends are in thousandths, the place itself isn't rounded. Null, NaN, endless and too short totals give no piece, null
+    ``mids`` are none; they are ascending. A piece costs a bisection, whatever the length of the item.
     """
-    t = total.cast("double")
-    first = F.struct(F.lit(0.0).alias("cur"), F.array().cast(PIECE).alias("out"), F.lit(False).alias("over"))
 
-    def piece(a: Column, b: Column) -> Column:
-        return F.array(F.struct(F.round(a, 3).alias("start"), F.round(b, 3).alias("end")))
+    @F.pandas_udf("starts array<double>, ends array<double>")
+    def run(totals: pd.Series, silences: pd.Series) -> pd.DataFrame:
+        rows = [_cuts(float(t), np.asarray(m if m is not None else [], dtype=float), least, most) if t is not None and np.isfinite(t) and t >= least else ([], []) for t, m in zip(totals, silences)]
+        return pd.DataFrame(rows, columns=["starts", "ends"])
 
-    def step(s: Column, _: Column) -> Column:
-        cur, out = s["cur"], s["out"]
-        rest = t - cur
-        ahead = F.filter(mids, lambda m: (m >= cur + least) & (m <= cur + most))
-        cut = F.coalesce(F.try_element_at(ahead, F.lit(-1)), cur + most)
-        last = F.when(rest >= least, F.concat(out, piece(cur, t))).otherwise(out)
-        return F.when(s["over"], s).when(rest <= most, F.struct(cur.alias("cur"), last.alias("out"), F.lit(True).alias("over"))).otherwise(F.struct(cut.alias("cur"), F.concat(out, piece(cur, cut)).alias("out"), F.lit(False).alias("over")))
+    cut = run(total.cast("double"), mids)
+    return F.zip_with(cut["starts"], cut["ends"], lambda a, b: F.struct(F.round(a, 3).alias("start"), F.round(b, 3).alias("end")))
 
-    steps = F.sequence(F.lit(1), F.greatest(F.ceil(t / least).cast("int"), F.lit(1)))
-    usable = t.isNotNull() & ~F.isnan(t) & (t >= least) & (t < 1e7)
-    return F.when(usable, F.aggregate(steps, first, step, lambda s: s["out"])).otherwise(F.array().cast(PIECE))
 
+def greedy_merge(df: DataFrame, keys: list[str], least: float, most: float) -> DataFrame:
+    """(keys, start, end): groups of successive intervals (start, end) of a key: the next joins while the group would
+    last at most ``most`` seconds, and a group counts if it lasts at least ``least``. One interval longer than ``most``
+    stays whole; intervals without both times are left out.
+
+    Rows go by in order of key and start while only the open group is held, so an item of any length needs no more room.
+    """
+    rows = df.where("start is not null and end is not null").select(*keys, F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"))
 
-def greedy_merge(intervals: Column, least: float, most: float) -> Column:
-    """Groups of successive intervals: the next joins while the group would last at most ``most`` seconds, and a group
-    counts if it lasts at least ``least``. One interval longer than ``most`` stays whole. ``intervals`` are sorted."""
-    empty = F.array().cast(PIECE)
-    first = F.struct(F.lit(None).cast("double").alias("a"), F.lit(None).cast("double").alias("b"), empty.alias("out"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() for k in range(len(keys))]
+            out: list[tuple] = []
+            for key, a, b in zip(zip(*columns), batch.column(len(keys)).to_pylist(), batch.column(len(keys) + 1).to_pylist()):
+                if held is not None and held[0] == key and b - held[1] <= most:
+                    held = (key, held[1], b)
+                    continue
+                if held is not None and held[2] - held[1] >= least:
+                    out.append(held)
+                held = (key, a, b)
+            yield _piece_batch(out, batch.schema)
+            schema = batch.schema
+        if held is not None and held[2] - held[1] >= least:
+            yield _piece_batch([held], schema)
 
-    def closed(s: Column) -> Column:
-        return F.when(s["b"] - s["a"] >= least, F.concat(s["out"], F.array(F.struct(s["a"].alias("start"), s["b"].alias("end"))))).otherwise(s["out"])
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "start", "end").mapInArrow(run, rows.schema)
 
-    def step(s: Column, i: Column) -> Column:
-        joins = i["end"] - s["a"] <= most
-        return F.when(s["a"].isNull(), F.struct(i["start"].alias("a"), i["end"].alias("b"), s["out"].alias("out"))).when(joins, F.struct(s["a"].alias("a"), i["end"].alias("b"), s["out"].alias("out"))).otherwise(
-            F.struct(i["start"].alias("a"), i["end"].alias("b"), closed(s).alias("out"))
-        )
 
-    return F.aggregate(intervals, first, step, closed)
+def _piece_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    values = [[r[0][k] for r in rows] for k in range(len(schema) - 2)] + [[r[1] for r in rows], [r[2] for r in rows]]
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], names=schema.names)
 
 
 def padded_pieces(df: DataFrame, total: str, pieces: str, least: float, before: float = 0.20, after: float = 0.25) -> DataFrame:
@@ -86,6 +113,18 @@ def speaker_type(df: DataFrame, keys: list[str], segments: int = 4, pause: float
     return rows.groupBy(*keys).agg(F.count("*").alias("n_segments"), F.when(talk, F.lit("dialogue")).otherwise(F.lit("monologue")).alias("speaker_type"))
 
 
+def joined_stretches(stretches: Column, gap: float, least: float = 0.0) -> Column:
+    """Stretches (start, end) with pauses of at most ``gap`` seconds closed; those shorter than ``least`` go."""
+
+    def add(out: Column, s: Column) -> Column:
+        last = F.try_element_at(out, F.lit(-1))
+        one = lambda a, b: F.array(F.struct(a.alias("start"), b.alias("end")))
+        near = (F.size(out) > 0) & (s["start"] - last["end"] <= gap + 1e-9)
+        return F.when(near, F.concat(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), one(last["start"], s["end"]))).otherwise(F.concat(out, one(s["start"], s["end"])))
+
+    return F.filter(F.aggregate(stretches, F.array().cast(PIECE), add), lambda p: p["end"] - p["start"] >= least - 1e-9)
+
+
 def active_stretches(energy: Column, limit: Column, hop: float) -> Column:
     """Speech intervals by energy: stretches of windows at or above the limit, in seconds."""
     first = F.struct(F.lit(-1).alias("open"), F.lit(0).alias("i"), F.array().cast(PIECE).alias("out"))

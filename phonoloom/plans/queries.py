@@ -5,40 +5,20 @@ Each query stands beside its SQL. All of them run over whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from phonoloom.functions import classify, dates, ids, lexicons, signal, text
+from phonoloom.functions import classify, dates, ids, lexicons, scores, signal, text
 from phonoloom.functions.numbers import rounded
 from phonoloom.operators import dedup, reconcile, rollup, segment
 from phonoloom.operators.gates import item_gates, low_voice
 from phonoloom.plans import pipeline
 from phonoloom.plans.cluster import table
+from phonoloom.plans.registry import Registry
 from phonoloom.sources import landing
 from phonoloom.streaming import events as streams
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return register
-
-
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+REGISTRY = Registry()
+query, queries, oracle_sql = REGISTRY.query, REGISTRY.queries, REGISTRY.oracle_sql
 
 
 def day_of(column: str) -> Column:
@@ -118,7 +98,7 @@ SELECT doc_id, array_to_string(list_sort(CASE WHEN len(a) > 0 THEN a WHEN len(b)
 )
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
     t = F.col("text")
-    return table(spark, sf, "documents").where("text is not null").select("doc_id", F.array_join(F.array_sort(ids.page_links(t)), " ").alias("links"), F.array_join(F.array_sort(ids.page_links_all(t, 100000)), " ").alias("links_all"))
+    return table(spark, sf, "documents").where("text is not null").select("doc_id", F.array_join(F.array_sort(ids.page_links(t)), " ").alias("links"), F.array_join(F.array_sort(ids.page_links_all(t, 100000, "https://www.fbclips.example/reel/", "https://www.fbclips.example/watch?v=")), " ").alias("links_all"))
 
 
 _BASE = r"CASE WHEN regexp_matches(item_id, '^(tt|fb)_\d{1,7}$') THEN item_id ELSE regexp_replace(item_id, '_\d{1,3}$', '') END"
@@ -200,7 +180,7 @@ def platform_meta(spark: SparkSession, sf: str) -> DataFrame:
         .select(
             "item_id",
             text.first_filled(F.col("title"), F.col("description"), F.col("uploader")).alias("heading"),
-            F.lower(F.trim(F.coalesce("title", F.lit("")))).isin("original sound", "am thanh goc", "tieng dong goc", "").alias("music_is_original"),
+            scores.own_sound(F.col("title")).alias("music_is_original"),
             F.contains(about, F.lit("duet")).alias("is_duet"),
             F.contains(about, F.lit("stitch")).alias("is_stitch"),
             F.coalesce("platform_meta.has_platform_captions", F.lit(False)).alias("has_captions"),
@@ -319,7 +299,7 @@ def transcript_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH e AS (SELECT DISTINCT item_id, {_nan('snr_db')} AS snr, {_nan('duration_seconds')} AS d, {_nan('music_prob')} AS m, {_nan('synthetic_prob')} AS s, {_nan('speech_ratio')} AS sr, {_words('transcript_raw')} AS w, content_decision AS cd FROM metadata_extended WHERE item_id IS NOT NULL),
-g AS (SELECT CASE WHEN d < 3.0 THEN 'too_short' WHEN d > 7200.0 THEN 'too_long' WHEN m >= 0.70 THEN 'music_quarantine' WHEN s > 0.70 THEN 'synthetic' WHEN (snr < 12.0 OR sr < 0.25) AND snr < 10.0 THEN 'low_quality' WHEN m >= 0.30 THEN 'residual_music' WHEN w < 3 THEN 'no_speech' WHEN cd = 'REJECT' THEN 'content' END AS reason FROM e)
+g AS (SELECT CASE WHEN d < 5.0 THEN 'too_short' WHEN d > 7200.0 THEN 'too_long' WHEN m >= 0.70 THEN 'music_quarantine' WHEN s > 0.70 THEN 'synthetic' WHEN (snr < 12.0 OR sr < 0.25) AND snr < 10.0 THEN 'low_quality' WHEN m >= 0.30 THEN 'residual_music' WHEN w < 3 THEN 'no_speech' WHEN cd = 'REJECT' THEN 'content' END AS reason FROM e)
 SELECT coalesce(reason, 'accepted') AS reason, count(*) AS n FROM g GROUP BY 1"""
 )
 def gate_reasons(spark: SparkSession, sf: str) -> DataFrame:
@@ -463,13 +443,13 @@ def priority_source(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """WITH t AS (SELECT user_id, epoch_us(ts) / 1000000.0::double AS s, epoch_us(ts) / 1000000.0::double + value / 10.0::double AS e, event_type FROM events WHERE value > 0)
+    """WITH t AS (SELECT user_id, epoch_us(ts) / 1000000.0::double AS s, epoch_us(ts) / 1000000.0::double + value * 60.0::double AS e, event_type FROM events WHERE value > 0)
 SELECT a.user_id, round(a.s, 3) AS l_start, round(b.s, 3) AS r_start, count(*) AS n FROM t a JOIN t b ON a.user_id = b.user_id AND a.event_type = 'view' AND b.event_type = 'purchase' AND a.s < b.e AND b.s < a.e GROUP BY ALL"""
 )
 def interval_overlap(spark: SparkSession, sf: str) -> DataFrame:
     at = F.unix_micros(F.col("ts").cast("timestamp")) / 1000000.0
-    rows = table(spark, sf, "events").where("value > 0").select("user_id", "event_type", at.alias("start"), (at + F.col("value") / 10.0).alias("end"))
-    both = reconcile.overlapping(rows.where("event_type = 'view'"), rows.where("event_type = 'purchase'"), "user_id")
+    rows = table(spark, sf, "events").where("value > 0").select("user_id", "event_type", at.alias("start"), (at + F.col("value") * 60.0).alias("end"))
+    both = reconcile.overlapping(rows.where("event_type = 'view'"), rows.where("event_type = 'purchase'"), "user_id", 3600.0)
     return both.groupBy("user_id", F.round("l_start", 3).alias("l_start"), F.round("r_start", 3).alias("r_start")).agg(F.count("*").alias("n"))
 
 
@@ -548,7 +528,7 @@ def size_duration(spark: SparkSession, sf: str) -> DataFrame:
 )
 def longest_of_uploader(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "metadata").where("uploader is not null and item_id is not null and duration_seconds is not null and not isnan(duration_seconds)").select("uploader", "item_id", "duration_seconds").distinct()
-    return dedup.numbered(rows, ["uploader"], [F.col("duration_seconds").desc(), F.col("item_id")], "rn").where("rn <= 3").drop("rn")
+    return dedup.largest(rows, ["uploader"], [F.col("duration_seconds").desc(), F.col("item_id")], 3)
 
 
 # --- signals (embeddings stand for sample arrays: windows of 8, every 4) --------------------------------------------
@@ -617,7 +597,7 @@ def synthetic_dsp_score(spark: SparkSession, sf: str) -> DataFrame:
     f = signal.frames(F.col("x"), 8, 8)
     z = F.transform(f, lambda w: F.aggregate(F.zip_with(F.slice(w, 2, 7), F.slice(w, 1, 7), lambda a, b: F.when(a * b < 0, F.lit(1.0)).otherwise(F.lit(0.0))), F.lit(0.0), lambda s, v: s + v) / 8)
     rows = _samples(spark, sf).withColumns({"r": F.transform(signal.energies(f), lambda e: F.sqrt(e)), "z": z})
-    return rows.select("vec_id", F.round(0.6 * signal.clamp(1 - signal.variance(F.col("r")) / 0.001) + 0.4 * signal.clamp(1 - signal.variance(F.col("z")) / 0.01), 4).alias("score"))
+    return rows.select("vec_id", F.round(scores.synthetic_by_levels(F.col("r"), F.col("z")), 4).alias("score"))
 
 
 @query(f"WITH {_X} SELECT vec_id, round(list_sum(list_transform(range(1, len(x)), lambda i: CASE WHEN x[i] * x[i + 1] < 0 THEN 1.0::double ELSE 0.0::double END)) / (len(x) - 1), 6) AS zcr FROM x")
@@ -642,25 +622,37 @@ def loudness_scale(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("vec_id", F.round(signal.total(F.transform("y", lambda v: v * v)), 6).alias("power"), F.round(signal.total(part), 6).alias("part"))
 
 
-@query()
+_HANN = "(0.5::double - 0.5::double * cos(2 * pi() * (j - 1) / 31))"
+
+
+@query(
+    f"""WITH {_X}, w AS (SELECT vec_id, unnest(range(0, len(x) - 31, 16)) AS i, x FROM x), h AS (SELECT vec_id, i, list_transform(range(1, 33), lambda j: x[i + j] * {_HANN}) AS h FROM w),
+p AS (SELECT vec_id, i, list_transform(range(0, 17), lambda k: pow(list_sum(list_transform(range(1, 33), lambda j: h[j] * cos(2 * pi() * k * (j - 1) / 32))), 2) + pow(list_sum(list_transform(range(1, 33), lambda j: h[j] * sin(2 * pi() * k * (j - 1) / 32))), 2) + 1e-12::double) AS p FROM h)
+SELECT vec_id, round(avg(exp(list_sum(list_transform(p, lambda v: ln(v))) / 17) / (list_sum(p) / 17)), 4) AS flatness FROM p GROUP BY vec_id"""
+)
 def spectral_flatness(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "embeddings").select("vec_id", F.round(signal.spectral_flatness("embedding"), 6).alias("flatness"))
+    return table(spark, sf, "embeddings").where("embedding is not null").select("vec_id", F.round(signal.spectral_flatness("embedding"), 4).alias("flatness"))
 
 
-@query()
+@query(
+    f"""WITH {_N}, u AS (SELECT vec_id, unnest(e) AS v, generate_subscripts(e, 1) - 1 AS i, noise FROM q), a AS (SELECT vec_id, i, i - row_number() OVER (PARTITION BY vec_id ORDER BY i) AS island FROM u WHERE v >= noise * 1.5::double),
+s AS (SELECT vec_id, min(i) * 0.25::double AS a, (max(i) + 1) * 0.25::double AS b FROM a GROUP BY vec_id, island), g AS (SELECT *, CASE WHEN a - lag(b) OVER w <= 0.25::double THEN 0 ELSE 1 END AS new FROM s WINDOW w AS (PARTITION BY vec_id ORDER BY a)),
+joined AS (SELECT *, sum(new) OVER (PARTITION BY vec_id ORDER BY a ROWS UNBOUNDED PRECEDING) AS part FROM g) SELECT vec_id, min(a) AS start, max(b) AS "end" FROM joined GROUP BY vec_id, part HAVING max(b) - min(a) >= 0.5::double"""
+)
 def energy_speech(spark: SparkSession, sf: str) -> DataFrame:
-    """Stretches of windows with at least 1.5 times the noise, 0.25 s a window step."""
-    rows = _measured(spark, sf)
-    return rows.select("vec_id", F.explode(segment.active_stretches(F.col("e"), F.col("noise") * 1.5, 0.25)).alias("s")).select("vec_id", "s.start", "s.end")
+    """Stretches of windows with at least 1.5 times the noise, 0.25 s a window step; pauses of one window are closed,
+    stretches of less than half a second go."""
+    rows = _measured(spark, sf).withColumn("s", segment.active_stretches(F.col("e"), F.col("noise") * 1.5, 0.25))
+    return rows.select("vec_id", F.explode(segment.joined_stretches(F.col("s"), 0.25, 0.5)).alias("s")).select("vec_id", "s.start", "s.end")
 
 
-@query()
+@query("SELECT vec_id, 16000 AS sample_rate, 1 AS channels, cast(len(embedding) AS int) AS n, '' AS errors, true AS same FROM embeddings")
 def sound_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Samples written as sound files and read again: header, what is wrong with it, and whether samples are the same."""
     files = table(spark, sf, "embeddings").select("vec_id", "embedding", landing.encode_sound(F.col("embedding")).alias("content"))
     read = files.withColumn("s", landing.decode_sound(F.col("content")))
     same = F.forall(F.zip_with("embedding", "s.samples", lambda a, b: F.abs(a - b) < 1e-4), lambda v: v)
-    return read.select("vec_id", "s.sample_rate", "s.channels", F.size("s.samples").alias("n"), landing.sound_errors(F.col("s.sample_rate"), F.col("s.channels"), F.col("s.sample_bytes"), F.col("s.duration")).alias("errors"), same.alias("same"))
+    return read.select("vec_id", "s.sample_rate", "s.channels", F.size("s.samples").alias("n"), F.coalesce(landing.sound_errors(F.col("s.sample_rate"), F.col("s.channels"), F.col("s.sample_bytes"), F.col("s.duration")), F.lit("")).alias("errors"), same.alias("same"))
 
 
 # --- segments -------------------------------------------------------------------------------------------------------
@@ -691,18 +683,22 @@ def speaker_type(spark: SparkSession, sf: str) -> DataFrame:
     return segment.speaker_type(_talk(spark, sf), ["user_id", "d"]).select("user_id", F.date_format("d", "yyyy-MM-dd").alias("day"), "n_segments", "speaker_type")
 
 
-_ITEMS = "items AS (SELECT DISTINCT item_id, duration_seconds AS total FROM metadata WHERE item_id IS NOT NULL AND duration_seconds >= 3 AND duration_seconds < 1e7 AND NOT isnan(duration_seconds)), mids AS (SELECT item_id, total, list_filter(list_transform(range(1, cast(floor(total / 3.7::double) AS int) + 2), lambda i: round(i * 3.7::double + (i % 3) * 0.4::double, 3)), lambda m: m < total) AS mids FROM items)"
-_SPLIT = f"""{_ITEMS}, walk AS (SELECT item_id, total, mids, 0.0::double AS a, CASE WHEN total <= 20 THEN total ELSE coalesce(list_filter(mids, lambda m: m >= 3 AND m <= 20)[-1], 20.0::double) END AS b, total <= 20 AS last, 1 AS k FROM mids
-UNION ALL SELECT item_id, total, mids, b, CASE WHEN total - b <= 20 THEN total ELSE coalesce(list_filter(mids, lambda m: m >= walk.b + 3 AND m <= walk.b + 20)[-1], b + 20) END, total - b <= 20, k + 1 FROM walk WHERE NOT last),
-pieces AS (SELECT item_id, total, k, round(a, 3) AS s, round(b, 3) AS e FROM walk WHERE NOT last OR b - a >= 3)"""
+_SPLIT = f"""{_TALK}, gap AS (SELECT user_id, d, e AS a, lead(s) OVER (PARTITION BY user_id, d ORDER BY s, e) AS b FROM t),
+mid AS (SELECT user_id, d, list(m ORDER BY m) AS mids FROM (SELECT user_id, d, round(round((a + b) / 2, 3) - epoch(d), 3) AS m FROM gap WHERE round(b - a, 6) >= 0.35) GROUP BY user_id, d),
+item AS (SELECT cast(user_id AS varchar) || ' ' || strftime(d, '%Y-%m-%d') AS item_id, 86400.0::double AS total, coalesce(mids, []) AS mids FROM (SELECT DISTINCT user_id, d FROM t) LEFT JOIN mid USING (user_id, d)),
+walk AS (SELECT item_id, total, mids, 0.0::double AS a, coalesce(list_filter(mids, lambda m: m >= 600 AND m <= 3600)[-1], 3600.0::double) AS b, false AS last, 1 AS k FROM item
+UNION ALL SELECT item_id, total, mids, b, CASE WHEN total - b <= 3600 THEN total ELSE coalesce(list_filter(mids, lambda m: m >= walk.b + 600 AND m <= walk.b + 3600)[-1], b + 3600) END, total - b <= 3600, k + 1 FROM walk WHERE NOT last),
+pieces AS (SELECT item_id, total, k, round(a, 3) AS s, round(b, 3) AS e FROM walk WHERE NOT last OR b - a >= 600)"""
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
-    """Items with silences made by rule, cut into pieces of 3 to 20 seconds."""
-    rows = table(spark, sf, "metadata").where("item_id is not null and duration_seconds >= 3 and duration_seconds < 1e7 and not isnan(duration_seconds)").select("item_id", F.col("duration_seconds").alias("total")).distinct()
-    made = F.transform(F.sequence(F.lit(1), F.floor(F.col("total") / 3.7).cast("int") + 1), lambda i: F.round(i * 3.7 + (i % 3) * 0.4, 3))
-    mids = rows.withColumn("mids", F.filter(made, lambda m: m < F.col("total")))
-    return mids.select("item_id", "total", segment.greedy_split(F.col("total"), F.col("mids"), 3.0, 20.0).alias("pieces"))
+    """Days of users as items, cut at the pauses between their events into pieces of 10 to 60 minutes."""
+    talk = _talk(spark, sf)
+    gaps = segment.silence_gaps(talk, ["user_id", "d"], 0.35).select("user_id", "d", F.round(F.col("mid") - F.unix_date("d") * 86400.0, 3).alias("m"))
+    # a day has room for so many pauses of this length and no more
+    mids = gaps.groupBy("user_id", "d").agg(F.sort_array(F.collect_list("m")).alias("mids"))
+    items = talk.select("user_id", "d").distinct().join(mids, ["user_id", "d"], "left").select(F.concat_ws(" ", F.col("user_id").cast("string"), F.date_format("d", "yyyy-MM-dd")).alias("item_id"), F.lit(86400.0).alias("total"), "mids")
+    return items.select("item_id", "total", segment.greedy_split(F.col("total"), F.col("mids"), 600.0, 3600.0).alias("pieces"))
 
 
 @query(f"WITH RECURSIVE {_SPLIT} SELECT item_id, cast(row_number() OVER (PARTITION BY item_id ORDER BY k) AS int) AS n, s AS start_sec, e AS end_sec FROM pieces")
@@ -712,10 +708,10 @@ def greedy_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH RECURSIVE {_SPLIT}, n AS (SELECT *, cast(row_number() OVER (PARTITION BY item_id ORDER BY k) AS int) AS i, cast(count(*) OVER (PARTITION BY item_id) AS int) AS m FROM pieces), p AS (SELECT item_id, i, m, greatest(0.0::double, round(s - 0.20::double, 3)) AS a, least(total, round(e + 0.25::double, 3)) AS b FROM n)
-SELECT item_id, m AS total_segments, i AS segment_index, a AS start_sec, b AS end_sec, round(b - a, 3) AS duration_seconds FROM p WHERE round(b - a, 3) >= 3"""
+SELECT item_id, m AS total_segments, i AS segment_index, a AS start_sec, b AS end_sec, round(b - a, 3) AS duration_seconds FROM p WHERE round(b - a, 3) >= 600"""
 )
 def pad_clamp(spark: SparkSession, sf: str) -> DataFrame:
-    return segment.padded_pieces(_split(spark, sf), "total", "pieces", 3.0).drop("total")
+    return segment.padded_pieces(_split(spark, sf), "total", "pieces", 600.0).drop("total")
 
 
 @query(
@@ -725,9 +721,8 @@ ends AS (SELECT *, lead(a) OVER (PARTITION BY user_id, d ORDER BY k) AS next_a F
 SELECT user_id, strftime(d, '%Y-%m-%d') AS day, floor(a * 1000 + 0.5::double) / 1000 AS start_sec, floor(b * 1000 + 0.5::double) / 1000 AS end_sec FROM ends WHERE (next_a IS NULL OR next_a <> a) AND b - a >= 3"""
 )
 def greedy_merge(spark: SparkSession, sf: str) -> DataFrame:
-    days = _talk(spark, sf).groupBy("user_id", "d").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("i"))
-    rows = days.select("user_id", F.date_format("d", "yyyy-MM-dd").alias("day"), F.explode(segment.greedy_merge(F.col("i"), 3.0, 900.0)).alias("p"))
-    return rows.select("user_id", "day", rounded(F.col("p.start"), 3).alias("start_sec"), rounded(F.col("p.end"), 3).alias("end_sec"))
+    rows = segment.greedy_merge(_talk(spark, sf), ["user_id", "d"], 3.0, 900.0)
+    return rows.select("user_id", F.date_format("d", "yyyy-MM-dd").alias("day"), rounded(F.col("start"), 3).alias("start_sec"), rounded(F.col("end"), 3).alias("end_sec"))
 
 
 # --- event time -----------------------------------------------------------------------------------------------------
@@ -770,15 +765,21 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return streams.run_to_table(rows.select("user_id", "event_type")).groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
 def stream_tumbling(spark: SparkSession, sf: str) -> DataFrame:
-    return streams.tumbling_of_stream(spark, sf)
+    return streams.tumbling_of_stream(spark, sf).withColumn("start", F.date_format("start", _MINUTE))
 
 
-@query()
+@query(
+    f"""WITH r AS (SELECT * FROM metadata_extended WHERE item_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY crawled_at NULLS FIRST) = 1),
+seen AS (SELECT key FROM ({_seen("(SELECT * FROM metadata WHERE processed_at < TIMESTAMP '2026-09-10 00:00:00')")}) WHERE key IS NOT NULL), u AS ({_unseen('r', '*')}),
+e AS (SELECT platform, {_nan('snr_db')} AS snr, {_nan('duration_seconds')} AS d, {_nan('music_prob')} AS m, {_nan('synthetic_prob')} AS s, {_nan('speech_ratio')} AS sr, {_words('transcript_raw')} AS w, content_decision AS cd FROM u)
+SELECT platform, CASE WHEN d < 5.0 THEN 'too_short' WHEN d > 7200.0 THEN 'too_long' WHEN m >= 0.70 THEN 'music_quarantine' WHEN s > 0.70 THEN 'synthetic' WHEN (snr < 12.0 OR sr < 0.25) AND snr < 10.0 THEN 'low_quality' WHEN m >= 0.30 THEN 'residual_music' WHEN w < 3 THEN 'no_speech' WHEN cd = 'REJECT' THEN 'content' END AS reject_reason, count(*) AS n FROM e GROUP BY 1, 2"""
+)
 def curation_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Extended records through dedup, the seen set of the first half of the crawl's days, and the gates."""
-    records = table(spark, sf, "metadata_extended")
+    used = ["snr_db", "duration_seconds", "music_prob", "synthetic_prob", "speech_ratio"]
+    records = table(spark, sf, "metadata_extended").withColumns({c: F.nanvl(c, F.lit(None)) for c in used})
     earlier = table(spark, sf, "metadata").where("processed_at < timestamp '2026-09-10 00:00:00'")
     seen = dedup.remember(spark.createDataFrame([], "key string"), earlier)
     return pipeline.curate(records, seen).groupBy("platform", "reject_reason").agg(F.count("*").alias("n"))

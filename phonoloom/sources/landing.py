@@ -34,15 +34,48 @@ def manifest(spark: SparkSession, path: str, limit: int = 0, photos: bool = Fals
     return rows.limit(limit) if limit > 0 else rows
 
 
+def expanded(rows: DataFrame, channels: DataFrame, url: str = "url") -> DataFrame:
+    """Manifest rows in which an address of a channel is replaced by the channel's videos.
+
+    ``channels`` (channel, video_url) holds what is known of them; a channel is an address whose last part is a handle
+    or that has no number. Channels that nothing is known of stay as they are.
+    """
+    key = F.regexp_replace(F.split_part(F.col(url), F.lit("?"), F.lit(1)), "/+$", "")
+    named = key.rlike(r"/@[^/]+$")
+    known = channels.select(F.regexp_replace("channel", "/+$", "").alias("_channel"), "video_url").where("video_url is not null").distinct()
+    out = rows.withColumn("_k", F.when(named, key)).join(known, F.col("_k") == F.col("_channel"), "left")
+    return out.withColumn(url, F.coalesce("video_url", url)).drop("_k", "_channel", "video_url")
+
+
+def channel_listing(parts: list[DataFrame], limit: int | None = None) -> DataFrame:
+    """(url) of what several extractions of a channel found, each once, in the order of the addresses; ``None`` takes
+    all. Nulls are left out."""
+    whole = parts[0].select("url")
+    for p in parts[1:]:
+        whole = whole.unionByName(p.select("url"))
+    out = whole.where("url is not null").distinct().orderBy("url")
+    return out if limit is None else out.limit(limit)
+
+
+def merged_folders(parts: list[DataFrame], name: str = "name") -> DataFrame:
+    """Files of several folders as one: of equal names that of the first folder stays. Folders have the same columns."""
+    whole = parts[0].withColumn("_folder", F.lit(0))
+    for k, p in enumerate(parts[1:], 1):
+        whole = whole.unionByName(p.withColumn("_folder", F.lit(k)))
+    rest = [c for c in parts[0].columns if c != name]
+    best = whole.groupBy(name).agg(F.min(F.struct("_folder", *rest)).alias("_r"))
+    return best.select(name, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
 def listing(spark: SparkSession, path: str, pattern: str = "*.wav") -> DataFrame:
     """(path, length, item_id) of the files below a folder; their content isn't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
     return files.select("path", "length", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("item_id"))
 
 
-def record_files(spark: SparkSession, glob: str, schema: str = RECORD_SCHEMA) -> DataFrame:
-    """Records of JSON-array files; files and records that can't be read give no row."""
-    raw = spark.read.schema(f"{schema}, _bad string").option("multiLine", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(glob)
+def record_files(spark: SparkSession, glob: str, schema: str = RECORD_SCHEMA, lines: bool = False) -> DataFrame:
+    """Records of JSON-array files, or of JSON lines; files and records that can't be read give no row."""
+    raw = spark.read.schema(f"{schema}, _bad string").option("multiLine", str(not lines).lower()).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(glob)
     return raw.where("_bad is null").drop("_bad")
 
 
@@ -53,9 +86,9 @@ def error_log(spark: SparkSession, path: str, platform: str | None = None) -> Da
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A Parquet table, or an empty one where nothing was written yet."""
+    """A Parquet table, or an empty one where nothing was written yet; files that can't be read give no rows."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -80,7 +113,17 @@ def _decoded(content: bytes, mono: str) -> tuple | None:
             raw = w.readframes(n)
     except (wave.Error, EOFError, struct.error, TypeError):
         return None
-    x = np.frombuffer(raw[: len(raw) // (2 * channels) * 2 * channels], dtype="<i2").astype(np.float32) / 32768 if width == 2 else np.zeros(0, np.float32)
+    raw = raw[: len(raw) // (width * channels) * width * channels]
+    if width == 3:
+        # the missing low byte is zero
+        wide = np.zeros((len(raw) // 3, 4), np.uint8)
+        wide[:, 1:] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+        x = wide.view("<i4").ravel() / 2.0**31
+    elif width == 1:
+        x = (np.frombuffer(raw, np.uint8).astype(float) - 128) / 128
+    else:
+        x = np.frombuffer(raw, f"<i{width}") / 2.0 ** (8 * width - 1)
+    x = x.astype(np.float32)
     if channels > 1 and len(x):
         x = x.reshape(-1, channels)
         x = x.mean(axis=1) if mono == "mean" else x[:, 0]
@@ -88,8 +131,8 @@ def _decoded(content: bytes, mono: str) -> tuple | None:
 
 
 def decode_sound(content: Column, mono: str = "mean") -> Column:
-    """Header and samples of a PCM sound file; null if it can't be read. Samples come only from 16-bit files;
-    several channels become their mean, or the first."""
+    """Header and samples of a PCM sound file; null if it can't be read. Samples of 8, 16, 24 and 32 bits come
+    as numbers in -1..1; several channels become their mean, or the first."""
 
     @F.pandas_udf(SOUND)
     def run(files: pd.Series) -> pd.DataFrame:

@@ -12,12 +12,12 @@ from phonoloom.plans.cluster import shared_dir
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def read_stream(spark: SparkSession, root: str, name: str = "events", schema: str = EVENTS, files_at_once: int = 64) -> DataFrame:
+def read_stream(spark: SparkSession, root: str, name: str = "events", schema: str = EVENTS, files_at_once: int = 64, at: str = "ts") -> DataFrame:
     """A table of the folder as a stream of its files; event times become instants, which watermarks need."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once)
     path = f"{root}/{name}.parquet"
     rows = reader.parquet(path) if os.path.isdir(path.removeprefix("file://")) else reader.option("pathGlobFilter", f"{name}.parquet").parquet(root)
-    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    return rows.withColumn(at, F.col(at).cast("timestamp"))
 
 
 def tumbling(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
@@ -86,3 +86,22 @@ def tumbling_of_stream(spark: SparkSession, root: str, width: str = "1 hour", fi
     query = stream.writeStream.foreachBatch(add).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.parquet(f"{path}/counts").groupBy("start", "event_type").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 2).alias("total"))
+
+
+def keep_by_key(stream: DataFrame, key: str, order: list[str], path: str) -> DataFrame:
+    """The first row of each key in the given order, from a stream whose batches may come again: a batch writes its own
+    first rows under its number, and one that is redelivered replaces them. Null keys are left out."""
+    spark = stream.sparkSession
+    rest = [c for c in stream.columns if c != key and c not in order]
+
+    def first(rows: DataFrame) -> DataFrame:
+        best = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("_r"))
+        return best.select(key, *[F.col(f"_r.{c}").alias(c) for c in [*order, *rest]])
+
+    def put(batch: DataFrame, number: int) -> None:
+        first(batch).write.mode("overwrite").parquet(f"{path}/rows/batch={number}")
+
+    put(spark.createDataFrame([], stream.schema), -1)
+    query = stream.writeStream.foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return first(spark.read.parquet(f"{path}/rows").drop("batch"))
