@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +70,56 @@ def byte_spans(ids, path: str) -> list[tuple[int, int]]:
     return spans
 
 
+# A space between two characters that are none begins a piece of its own in byte-level vocabularies: no piece spans it,
+# whatever stands around. So texts can be cut there and each different part goes to the library once.
+_CUT, _AROUND = re.compile(r"(?<=\S)(?= \S)"), re.compile(r"[^\S ] [^\S ]")
+
+
+def parts(text: str) -> list[str]:
+    """The text cut before spaces that stand between other characters."""
+    words = text.split(" ")
+    if "" in words or _AROUND.search(text):
+        return _CUT.split(text)
+    return [words[0], *map(" ".__add__, words[1:])]
+
+
+class Pieces:
+    """Ids of parts that have been met, each encoded by the library once. Holds at most about ``most`` parts."""
+
+    def __init__(self, path: str, most: int = 400_000):
+        self.tokenizer, self.most = tokenizer(path), most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat, self.begin, self.length = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def encode(self, texts: list[str], only_count: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, where each text begins, with the end behind); with ``only_count`` the
+        ids are left out."""
+        cut = list(map(parts, texts))
+        words = list(chain.from_iterable(cut))
+        if len(self.number) > self.most:
+            self._clear()
+        new = list(set(words).difference(self.number))
+        if new:
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            length = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(length) - length])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.int32, int(length.sum()))])
+            self.length = np.concatenate([self.length, length])
+        codes = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        length = self.length[codes]
+        ends = np.cumsum(length)
+        upto = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))  # a text has one part at least
+        offsets = np.concatenate([[0], ends[upto - 1]]) if len(upto) else np.zeros(1, np.int64)
+        if only_count:
+            return np.zeros(0, np.int32), offsets
+        at = np.repeat(self.begin[codes] - (ends - length), length) + np.arange(int(offsets[-1]))
+        return self.flat[at], offsets
+
+
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
     start = size = 0
     for k, text in enumerate(texts):
@@ -83,27 +135,21 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "i
     """(key, out): the ids of every text without special tokens; with ``only_count`` their number instead.
 
     Null and empty texts have no ids: an empty list (count 0). Strings of special tokens in a text are encoded as
-    ordinary text. Every row gives one row; other columns are not read. No shuffle, except of
-    inputs too small to keep all cores busy: Arrow batches go to the library where they lie, each in slices of at
-    most about CHARS characters (one longer text goes whole).
+    ordinary text. Every row gives one row; other columns are not read. No shuffle, except of inputs too small to keep
+    all cores busy: Arrow batches are encoded where they lie, in slices of at most about CHARS characters (one longer
+    text goes whole). The vocabulary is a byte-level one, in which no piece spans a space between two words: a part
+    between such spaces goes to the library when a task first meets it.
     """
     path = os.path.join(tokenizer_dir(), vocabulary)
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizer(path)
+        pieces = Pieces(path)
         for batch in batches:
             keys, texts = batch.column(0), [x or "" for x in batch.column(1).to_pylist()]
             for a, b in _slices(texts):
-                encoded = t.encode_batch_fast(texts[a:b], add_special_tokens=False)
-                if only_count:
-                    value = pa.array([len(e.ids) for e in encoded], pa.int64())
-                else:
-                    lists = [e.ids for e in encoded]
-                    offsets = np.zeros(len(lists) + 1, dtype=np.int32)
-                    np.cumsum([len(x) for x in lists], out=offsets[1:])
-                    flat = np.fromiter((i for x in lists for i in x), dtype=np.int32, count=int(offsets[-1]))
-                    value = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                flat, offsets = pieces.encode(texts[a:b], only_count)
+                value = pa.array(np.diff(offsets)) if only_count else pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), value], names=[key, out])
 
     return spread(df.select(key, F.col(text).alias("_text"))).mapInArrow(run, f"`{key}` {kind}, `{out}` {'bigint' if only_count else 'array<int>'}")

@@ -88,6 +88,23 @@ def test_spans_of_split_characters(spark):
     assert spans[1][0] == (0, 1) and spans[1][-1][1] == 4 and all(a < b for a, b in spans[1]) and spans[2] == []
 
 
+def test_encoding_by_parts_is_that_of_whole_texts():
+    import os
+
+    from phonoloom.plans.cluster import tokenizer_dir
+
+    path = os.path.join(tokenizer_dir(), "byte_bpe_50k.json")
+    rng = random.Random(3)
+    bits = [" ", "  ", "\n", "\t", " \n", "\u00a0", "\u3000", "\x1c", "\u200b", "a", "Xin", "chào", "'s", "12", "3,5", "!", "...", "đ\u0323", "👩‍👧", "<|endoftext|>", "\r\n", "_", "日本"]
+    texts = ["", " ", "  ", " a", "a ", "a  b", "a   b", "a \n b", "x\n y", "x\n \ny"] + ["".join(rng.choices(bits, k=rng.randint(1, 14))) for _ in range(4000)]
+    whole = encoding.tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
+    pieces = encoding.Pieces(path, most=50)
+    for a in range(0, len(texts), 700):
+        flat, offsets = pieces.encode(texts[a : a + 700])
+        assert [flat[i:j].tolist() for i, j in zip(offsets, offsets[1:])] == [e.ids for e in whole[a : a + 700]]
+        assert pieces.encode(texts[a : a + 700], True)[1].tolist() == offsets.tolist()
+
+
 def brute(rows, n, t, least):
     sets = {}
     for k, text in rows:
