@@ -1,22 +1,21 @@
 """A linear-chain conditional random field over hashed word features, in numpy.
 
 Words are numbered as they come; what a word contributes is computed once for each number, so that a batch costs a few
-array look-ups per token. Sequences of like length are decoded together.
+array look-ups per token. Sequences of like length are decoded together, each whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 import xxhash
 
 BITS = 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-#: Words kept with their features; beyond, the memory is emptied and filled anew.
-MEMORY = 300_000
-#: A longer sequence is decoded in stretches of WIDE tokens with MARGIN more on either side.
-WIDE, MARGIN = 448, 32
+#: Tokens that are decoded together; one longer sequence goes alone, whole.
+TOGETHER = 100_000
 
 
 def _slot(h: np.ndarray, salt: int) -> np.ndarray:
@@ -54,12 +53,46 @@ class Words:
 
     @property
     def table(self) -> np.ndarray:
+        """The hashes of all words, a row each."""
         if len(self._table) < len(self.hashes):
             new = np.array(self.hashes[len(self._table) :], dtype=np.uint64)
             self._table = np.concatenate([self._table, new])
         return self._table
 
 
+class Chunks:
+    """Word numbers of texts, by the stretches between white space: each is cut into tokens when it is first met."""
+
+    def __init__(self, words: Words, cut: Callable[[str], list[str]], most: int = 300_000):
+        self.words, self.cut, self.most = words, cut, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.words.clear()
+        self.number: dict[str, int] = {}
+        self.flat, self.begin, self.length = (np.zeros(0, np.int64) for _ in range(3))
+
+    def sequences(self, texts: list[str]) -> list[np.ndarray]:
+        """The word numbers of every text."""
+        if len(self.number) > self.most:
+            self._clear()
+        split = [x.split() for x in texts]
+        parts = list(chain.from_iterable(split))
+        new = list(set(parts).difference(self.number))
+        if new:
+            lists = [self.words.numbers(self.cut(c)) for c in new]
+            length = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(length) - length])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.int64, int(length.sum()))])
+            self.length = np.concatenate([self.length, length])
+        codes = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        length = self.length[codes]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        every = self.flat[np.repeat(self.begin[codes] - ends[:-1], length) + np.arange(int(ends[-1]))]
+        return np.split(every, ends[np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))][:-1]) if texts else []
+
+
 class Crf:
     """Labels of tokens. ``offsets``: neighbours whose attributes count; ``joint``: (offsets, attribute) tuples of words
     that count together."""
@@ -116,7 +149,7 @@ class Crf:
         stream = np.zeros(total + 2 * len(sequences) + 4, dtype=np.int64)
         at = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(total) if total else np.zeros(0, dtype=np.int64)
         if total:
-            stream[at] = np.fromiter((w for s in sequences for w in s), dtype=np.int64, count=total)
+            stream[at] = np.concatenate([np.asarray(s, dtype=np.int64) for s in sequences])
         return stream, at, lengths
 
     # training -------------------------------------------------------------------------------------------------
@@ -216,41 +249,24 @@ class Crf:
         """The best labels of every sequence."""
         return self._by_length(words, sequences, self._best)
 
-    def _by_length(self, words: Words, sequences: list[list[int]], run) -> list[np.ndarray]:
-        parts: list[tuple[int, int, int, int, int]] = []
-        for i, s in enumerate(sequences):
-            n = len(s)
-            if n <= WIDE + 2 * MARGIN:
-                if n:
-                    parts.append((n, i, 0, 0, n))
-                continue
-            for a in range(0, n, WIDE):
-                lo, hi = max(0, a - MARGIN), min(n, a + WIDE + MARGIN)
-                parts.append((hi - lo, i, lo, a - lo, min(a + WIDE, n) - lo))
-        parts.sort()
-        out: list = [None] * len(sequences)
-        pieces: dict[int, list] = {}
+    def _by_length(self, words: Words, sequences: list, run) -> list[np.ndarray]:
+        """``run`` over groups of sequences of like length; every sequence is decoded whole."""
+        lengths = np.array([len(s) for s in sequences], dtype=np.int64)
+        nothing = np.zeros((0, len(self.labels))) if run == self._forward_backward else np.zeros(0, dtype=np.int64)
+        out: list = [nothing] * len(sequences)
+        order = np.argsort(lengths, kind="stable")
+        order = order[lengths[order] > 0]
         k = 0
-        while k < len(parts):
-            size, end = 0, k
-            while end < len(parts) and size + parts[end][0] <= 60_000:
-                size += parts[end][0]
-                end += 1
-            end = max(end, k + 1)
-            group = parts[k:end]
-            stream, at, lengths = self.lay([sequences[i][lo : lo + n] for n, i, lo, _, _ in group])
-            flat = run(self.emissions(words, stream, at), lengths)
-            bounds = np.cumsum(lengths)
-            for (n, i, lo, a, b), stop in zip(group, bounds):
-                pieces.setdefault(i, []).append((lo, flat[stop - n + a : stop - n + b]))
+        while k < len(order):
+            # as many as fit, padded to the longest
+            room = lengths[order[k:]] * np.arange(1, len(order) - k + 1)
+            end = k + max(1, int(np.searchsorted(room, TOGETHER, side="right")))
+            group = order[k:end]
+            stream, at, own = self.lay([sequences[i] for i in group])
+            flat = run(self.emissions(words, stream, at), own)
+            for i, part in zip(group.tolist(), np.split(flat, np.cumsum(own)[:-1])):
+                out[i] = part
             k = end
-        for i, s in enumerate(sequences):
-            own = pieces.get(i)
-            if own is None:
-                out[i] = np.zeros((0, len(self.labels))) if run == self._forward_backward else np.zeros(0, dtype=np.int64)
-            else:
-                own.sort(key=lambda x: x[0])
-                out[i] = own[0][1] if len(own) == 1 else np.concatenate([x for _, x in own])
         return out
 
     def _forward_backward(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -280,26 +296,21 @@ class Crf:
     def _best(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         moves, first = self._chain()
         full, cell = self._padded(scores, lengths)
-        full = np.ascontiguousarray(full.transpose(1, 0, 2))
-        longest, n, k = full.shape
+        full = np.ascontiguousarray(full.transpose(1, 2, 0))  # time, label, sequence
+        longest, k, n = full.shape
         m = moves.astype(np.float32)
-        came = np.zeros((longest, n, k), dtype=np.int8)
-        score = full[0] + first.astype(np.float32)
+        score, shortest = np.empty_like(full), int(lengths.min())
+        score[0] = full[0] + first.astype(np.float32)[:, None]
         for t in range(1, longest):
-            best = score + 0.0
-            now = np.empty_like(score)
-            for j in range(k):
-                via = best + m[:, j]
-                pick = via.argmax(axis=1)
-                came[t, :, j] = pick
-                now[:, j] = via[np.arange(n), pick]
-            now += full[t]
-            score = np.where((t < lengths)[:, None], now, score)
+            np.add((score[t - 1][:, None, :] + m[:, :, None]).max(axis=0), full[t], out=score[t])
+            if t >= shortest:
+                np.copyto(score[t], score[t - 1], where=t >= lengths)
         path = np.zeros((longest, n), dtype=np.int64)
-        last = score.argmax(axis=1)
+        last = score[-1].argmax(axis=0)
         for t in range(longest - 1, -1, -1):
             path[t] = last
             if t:
-                back = came[t, np.arange(n), last]
-                last = np.where(t < lengths, back, last)
+                # the way that was best into this label
+                back = (score[t - 1] + m[:, last]).argmax(axis=0)
+                last = back if t < shortest else np.where(t < lengths, back, last)
         return path.T.reshape(-1)[cell]

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from phonoloom.llm import pii_labels as table_
-from phonoloom.llm.crf import Crf, Words
+from phonoloom.llm.crf import Chunks, Crf, Words
 from phonoloom.plans.cluster import spread
 
 KINDS = ["email", "phone", "id_number", "address", "person_name"]
@@ -25,6 +25,9 @@ TOKEN = re.compile(r"(?:[^\W\d_][̀-ͯ]*)+|\d+|_|[^\w\s]")
 DIGIT_WORDS = "không một hai ba bốn năm sáu bảy tám chín".split()
 _DIGIT_WORDS = frozenset(DIGIT_WORDS)
 _EMAIL_BODY = re.compile(r"[\w.+\-]+$")
+#: How the sign and the dots of an address are written, or spoken.
+_AT = re.compile(r"@|[(\[]\s*(?:at|a\s+c[òo]ng)\s*[)\]]|\ba\s+c[òo]ng\b", re.I)
+_DOMAIN = re.compile(r"\s*[\w\-]+(?:(?:\.|\s+(?:chấm|cham|dot)\s+|\s*[(\[](?:chấm|dot)[)\]]\s*)[\w\-]+)+", re.I)
 #: Parameters of the training table: fillings of a sentence with personal information, of one without.
 FILLINGS, FILLINGS_PLAIN = 36, 20
 
@@ -62,6 +65,12 @@ def located(text: str) -> tuple[list[str], list[int], list[int]]:
     return words, starts, ends
 
 
+def cut(chunk: str) -> list[str]:
+    """The tokens of a stretch without white space, as :func:`located` marks them."""
+    found = TOKEN.findall(chunk)
+    return found[:1] + ["\x01" + t for t in found[1:]]
+
+
 class _Filler:
     """Fillings of the labelled sentences, by rule from a seeded generator."""
 
@@ -73,11 +82,33 @@ class _Filler:
 
     def written(self, name: str) -> str:
         x = self.r.random()
-        return name.upper() if x < 0.12 else name.lower() if x < 0.24 else _bare(name) if x < 0.4 else name
+        return name.upper() if x < 0.12 else name.lower() if x < 0.27 else _bare(name) if x < 0.43 else name
+
+    def made(self) -> str:
+        """A syllable by rule, which no list holds."""
+        return self.r.choice(table_.ONSETS) + self.r.choice(table_.RIMES)
 
     def name(self) -> str:
         r = self.r
-        return self.written(" ".join([r.choice(table_.SURNAMES), *r.sample(table_.MIDDLES, r.choice([1, 1, 2])), r.choice(table_.GIVEN)]))
+        own = r.random() < 0.4
+        pick = (lambda known: self.made().capitalize()) if own else r.choice
+        name = " ".join([r.choice(table_.SURNAMES), *[pick(table_.MIDDLES) for _ in range(r.choice([1, 1, 2]))], pick(table_.GIVEN)])
+        # syllables by rule are only known by their capitals
+        return (name if r.random() < 0.8 else _bare(name)) if own else self.written(name)
+
+    def role(self) -> str:
+        """What somebody does: not a name, though a title may stand before it."""
+        r = self.r
+        return r.choice(table_.ROLES) if r.random() < 0.6 else " ".join([r.choice(table_.TITLES), *[self.made() for _ in range(r.choice([1, 2, 2, 3]))]])
+
+    def thing(self) -> str:
+        r = self.r
+        return r.choice(table_.THINGS) if r.random() < 0.6 else " ".join(self.made() for _ in range(r.choice([2, 3])))
+
+    def somewhere(self, known: list[str]) -> str:
+        """The name of a place or street, from a list or by rule."""
+        r = self.r
+        return r.choice(known) if r.random() < 0.5 else " ".join(self.made().capitalize() for _ in range(r.choice([2, 2, 3])))
 
     def ename(self) -> str:
         x = f"{self.r.choice(table_.ENGLISH_FIRST)} {self.r.choice(table_.ENGLISH_LAST)}"
@@ -87,14 +118,18 @@ class _Filler:
         r = self.r
         a, b = _bare(r.choice(table_.SURNAMES)).lower(), _bare(r.choice(table_.GIVEN)).lower()
         body = r.choice([f"{a}{b}{self.digits(2)}", f"{b}.{a}", f"{b}_{a}", f"{a}-{b}.{r.randint(1960, 2009)}", f"{b}+clip", f"{b}.{a}+mic", f"{a}.{b}{self.digits(2)}"])
-        out = f"{body}{r.choice(['@', '@', '@', '@', '(at)', ' (at) ', '[at]'])}{r.choice(table_.DOMAINS)}"
+        sign = r.choice(["@", "@", "@", "@", "@", "(at)", " (at) ", "[at]", " @ ", " [a còng] ", " a còng ", " (a còng) "])
+        domain = r.choice(table_.DOMAINS)
+        if "còng" in sign:
+            domain = domain.replace(".", r.choice([" chấm ", " chấm ", " (chấm) ", "."]))
+        out = f"{body}{sign}{domain}"
         return out.upper() if r.random() < 0.1 else out
 
     def phone(self) -> str:
         r = self.r
         head = r.choice(["03", "04", "05", "06", "07", "08", "09", "04", "06"])
         n = self.digits(10, head)
-        if r.random() < 0.12:
+        if r.random() < 0.2:
             return " ".join(DIGIT_WORDS[int(c)] for c in n)
         return r.choice([n, f"{n[:4]}.{n[4:7]}.{n[7:]}", f"{n[:4]}-{n[4:7]}-{n[7:]}", f"{n[:3]} {n[3:6]} {n[6:]}", f"+84 {n[1:3]} {n[3:6]} {n[6:]}", f"+84{n[1:]}", f"({n[:3]}) {n[3:6]}-{n[6:]}", f"0084-{n[1:3]}-{n[3:]}", f"{n[:4]} {n[4:7]} {n[7:]}"])
 
@@ -110,8 +145,8 @@ class _Filler:
         n = r.randint(1, 399)
         house = r.choice([f"{n}", f"{n}{r.choice('ABCb')}", f"{n % 90 + 1}/{r.randint(1, 60)}", f"{n % 60 + 1} ngõ {r.randint(1, 399)}", f"{n % 60 + 1} hẻm {r.randint(1, 399)}", f"{n % 60 + 1}, ngách {r.randint(1, 99)}"])
         road = r.choice(["đường ", "đường ", "đường ", "đ. ", "phố ", ""])
-        area = r.choice([f", phường {r.choice(table_.PLACES)}", f", P. {r.choice(table_.PLACES)}", f", xã {r.choice(table_.PLACES)}", f", thị trấn {r.choice(table_.PLACES)}", "", ""])
-        out = f"{house} {road}{r.choice(table_.STREETS)}"
+        area = r.choice([f", phường {self.somewhere(table_.PLACES)}", f", P. {self.somewhere(table_.PLACES)}", f", xã {self.somewhere(table_.PLACES)}", f", thị trấn {self.somewhere(table_.PLACES)}", "", ""])
+        out = f"{house} {road}{self.somewhere(table_.STREETS)}"
         x = r.random()
         if x < 0.2 and road:
             return out.lower()
@@ -127,17 +162,19 @@ class _Filler:
 
     def one(self, slot: str) -> str:
         r, t = self.r, table_
-        if hasattr(self, slot) and slot in ("name", "ename", "email", "phone", "idnum", "address", "eaddress"):
+        if hasattr(self, slot) and slot in ("name", "ename", "email", "phone", "idnum", "address", "eaddress", "role", "thing"):
             return getattr(self, slot)()
         if slot[0] == "d" and slot[1:].isdigit():
             n = int(slot[1:])
             return self.digits(n, r.choice(["74", "75", "1", "4", "8", "2"]) if n > 2 else "")
-        lists = {"feel": t.FEELINGS, "thing": t.THINGS, "time": t.TIMES, "weather": t.WEATHER, "dish": t.DISHES, "good": t.GOODS, "role": t.ROLES, "handle": t.HANDLES, "street": t.STREETS, "pl": t.PLACES, "erole": t.EN_ROLES, "ething": t.EN_THINGS, "eplace": t.EN_PLACES, "etime": t.EN_TIMES}
+        lists = {"feel": t.FEELINGS, "time": t.TIMES, "weather": t.WEATHER, "dish": t.DISHES, "good": t.GOODS, "handle": t.HANDLES, "street": t.STREETS, "pl": t.PLACES, "erole": t.EN_ROLES, "ething": t.EN_THINGS, "eplace": t.EN_PLACES, "etime": t.EN_TIMES}
+        if slot in ("pl", "street"):
+            return self.somewhere(lists[slot])
         if slot in lists:
             return r.choice(lists[slot])
         return {
-            "place": lambda: f"{r.choice(t.KINDS)} {r.choice(t.PLACES)}",
-            "org": lambda: f"{r.choice(t.ORGS)} {r.choice(t.PLACES)}",
+            "place": lambda: f"{r.choice(t.KINDS)} {self.somewhere(t.PLACES)}",
+            "org": lambda: f"{r.choice(t.ORGS)} {self.somewhere(t.PLACES)}",
             "n": self.number,
             "d": lambda: str(r.randint(1, 999)),
             "price": lambda: f"{r.randint(1, 9)}.{r.randint(100, 999)}.{r.randint(100, 999)}",
@@ -207,25 +244,27 @@ def checked(text: str, a: int, b: int, kind: str) -> tuple[int, int] | None:
     s = text[a:b]
     digits = sum(c.isdigit() for c in s)
     if kind == "email":
-        at = re.search(r"@|\(at\)|\[at\]", s, re.I)
+        at = _AT.search(s)
         if not at:
             return None
         before = text[max(0, a + at.start() - 80) : a + at.start()]
         body = _EMAIL_BODY.search(before.rstrip())
-        after = re.compile(r"\s*[\w.\-]+").match(text, a + at.end())
-        if not body or not after or "." not in after[0].strip("."):
+        after = _DOMAIN.match(text, a + at.end())
+        if not body or not after:
             return None
         start = a + at.start() - (len(before) - len(before.rstrip())) - len(body[0])
         if text[start - 1 : start] == "/":
             return None
-        return start, after.end() - (len(after[0]) - len(after[0].rstrip(".")))
+        return start, after.end()
     if kind == "phone":
         spoken = sum(w.lower() in _DIGIT_WORDS for w in s.split())
         return (a, b) if 9 <= digits + spoken <= 15 else None
     if kind == "id_number":
         return (a, b) if digits in (9, 12) else None
     if kind == "address":
-        return (a, b) if s[:1].isdigit() and re.search(r"[^\W\d_]{2}", s) else None
+        # an address stands on one line, and no digits touch its house number
+        alone = not re.search(r"[\r\n]", s) and text[a - 1 : a] not in (":", ",", ".") if a else True
+        return (a, b) if s[:1].isdigit() and alone and re.search(r"[^\W\d_]{2}", s) else None
     return (a, b) if " " in s and not digits else None
 
 
@@ -250,12 +289,10 @@ def spans_of(text: str, starts: list[int], ends: list[int], tags: np.ndarray) ->
     return out
 
 
-def _found(texts: list[str], model: Crf, words: Words) -> list[list[tuple[int, int, str]]]:
-    if len(words.hashes) > 200_000:
-        words.clear()
-    at = [located(x) for x in texts]
-    tags = model.viterbi(words, [words.numbers(w) for w, _, _ in at])
-    return [spans_of(x, s, e, t) for x, (_, s, e), t in zip(texts, at, tags)]
+def _found(texts: list[str], model: Crf, chunks: Chunks) -> list[list[tuple[int, int, str]]]:
+    tags = model.viterbi(chunks.words, chunks.sequences(texts))
+    # places in the text are only looked for where something was found
+    return [spans_of(x, *located(x)[1:], t) if t.any() else [] for x, t in zip(texts, tags)]
 
 
 def _slices(texts: list[str], chars: int = 3_000_000) -> Iterator[tuple[int, int]]:
@@ -280,12 +317,12 @@ def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     held = df.sparkSession.sparkContext.broadcast(trained())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(attributes)
+        chunks = Chunks(Words(attributes), cut)
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
             for a, b in _slices(texts):
                 rows, kinds, starts, ends = [], [], [], []
-                for k, own in enumerate(_found(texts[a:b], held.value, words)):
+                for k, own in enumerate(_found(texts[a:b], held.value, chunks)):
                     for s, e, c in own:
                         rows.append(a + k)
                         kinds.append(c)
@@ -303,13 +340,13 @@ def redact(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "r
     held = df.sparkSession.sparkContext.broadcast(trained())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(attributes)
+        chunks = Chunks(Words(attributes), cut)
         for batch in batches:
             raw = batch.column(1).to_pylist()
             texts = [x or "" for x in raw]
             for a, b in _slices(texts):
                 done = []
-                for x, own, was in zip(texts[a:b], _found(texts[a:b], held.value, words), raw[a:b]):
+                for x, own, was in zip(texts[a:b], _found(texts[a:b], held.value, chunks), raw[a:b]):
                     parts, last = [], 0
                     for s, e, c in own:
                         parts += [x[last:s], f"[{c.upper()}]"]

@@ -1,37 +1,49 @@
 """A small labelled table for personal information: sentences with ``[kind|...]`` around what is personal.
 
-``{...}`` stands for a filling from the lists below or a number made by rule; all of it is invented. The first list
-holds sentences with personal information, the second such without, the third what stands around them.
+``{...}`` stands for a filling from the lists below, or one made by rule: numbers, and syllables of ONSETS and RIMES for
+names that no list knows. The lists are common names, places and things; none is taken from the project's tables. The
+sentences' forms were written with its documents at hand. The first list of them holds sentences with personal
+information, the second such without, the third what stands around them.
 """
 
-SURNAMES = "Nguyễn Trần Lê Phạm Hoàng Huỳnh Phan Vũ Võ Đặng Bùi Đỗ Hồ Ngô Dương Lý Lục Ung Cù Khiếu Lều Mạc Nghiêm Giáp Quách Tiêu Đinh Trịnh Mai Lâm Cao Tạ".split()
-MIDDLES = "Gia Tố Thị Đăng Thục Hoài Khắc Uyên Mộng Hạ An Văn Thảo Minh Ngọc Hữu Đức Thanh Xuân Quang Bích Công".split()
-GIVEN = "Khởi Miên Nhâm Trĩ Vịnh Nhạn Thưởng Thoan Quyến Soan Thuyết Duệ Lựu Ngoạn Điểm Tuế Khuyên Mận Huê Cẩn Lan Hùng Tuấn Hương Nga Sơn Dũng Thảo Tâm Phúc Hạnh Loan Kiên Trinh Bách".split()
-ENGLISH_FIRST = "Maribel Perrin Kerrin Saffi Wendell Orla Ilka Ysolde Tobin Dacey Alice Robert Helen Marcus Nora Calvin".split()
-ENGLISH_LAST = "Brackmere Oldrush Skarrow Tannowitz Holloway-Dusk Quennar Venntree Fennimar Harrow Whitlock Peters Calloway".split()
-STREETS = ["Trúc Đào Vàng", "Hoa Sim", "Cỏ May", "Phù Sa Mới", "Sao Hôm", "Gió Chướng", "Thuyền Nan", "Bông Súng", "Mây Trắng", "Vỏ Sò", "Hạt Dẻ", "Cánh Diều", "Mắt Nai", "Nắng Hạ", "Lá Bàng", "Hàng Tre", "Cây Đa", "Lê Lợi", "Hai Bà Trưng"]
-ENGLISH_STREETS = ["Reed Flower", "Low Tide", "Drift Sand", "Kite Wing", "Maple Hill", "Old Mill"]
-PLACES = ["Láng Dừa", "Bến Sậy", "Suối Cát", "Đèo Sương", "Mũi Ốc", "Hòn Chuối", "Vàm Mắm", "Ao Vải", "Gò Trầm", "Cầu Tre Đôi", "Lò Gạch Cũ", "Hang Dơi Nhỏ", "Sông Tím", "Trảng Nắng", "Cửa Rừng Xanh", "Đầm Sen Bạc", "Đồng Mây", "Kênh Bèo", "Núi Lược", "Ruộng Muối", "Khe Lá", "Rạch Lau", "Bãi Trăng", "Dốc Thông", "Vườn Ổi", "Bàu Súng", "Đồi Chè Mới", "Mương Lớn", "Cồn Gió", "Giếng Vôi", "Thủ Thừa", "Xuân Lộc"]
+ONSETS = "b c ch d đ g gi h kh l m n nh ph qu s t th tr v x".split()
+RIMES = "a à ai an anh ánh ao ăn ắc âm ân ấu ê ên iên iệt inh ích oa oan oài oạn ong ông ốc ơn ôi u uân úc ục ung uy uyên uyết uê ương ươi ượng ư ưa ừng i ía ịnh em".split()
+
+SURNAMES = (
+    "Nguyễn Trần Lê Phạm Hoàng Huỳnh Phan Vũ Võ Đặng Bùi Đỗ Hồ Ngô Dương Lý Đinh Trịnh Mai Lâm Cao Tạ Đoàn Hà Lương Lưu Trương Tô Thái Châu Kiều La Nghiêm Quách Từ Vương Tăng Khổng Phùng Thạch "
+    "Âu Bạch Cù Doãn Đàm Giáp Kha Khiếu Lều Lục Mạc Mẫn Nhâm Ninh Phí Sầm Tiêu Tống Triệu Ung Văn Viên Vi"
+).split()
+MIDDLES = "Thị Văn Đức Hữu Minh Ngọc Thanh Xuân Quang Công Gia Hoài Bảo Anh Đình Duy Kim Mỹ Thu Thùy Diệu Khánh Nhật Phương Trọng Tuấn Việt Bích Cẩm Hồng".split()
+GIVEN = "An Bình Chi Cường Dung Duy Đạt Giang Hà Hải Hiền Hòa Hùng Huy Hương Khánh Khoa Lan Linh Long Ly My Nam Nga Ngân Nhung Phong Phúc Phương Quân Quyên Sơn Tâm Thành Thảo Thắng Thịnh Thu Thủy Tiến Trang Trí Trung Tuấn Tú Uyên Vân Việt Vinh Yến Đào Loan Hạnh Nhàn Bách Khôi".split()
+ENGLISH_FIRST = "Alice Robert Helen Marcus Nora Calvin Emma Peter Sarah Thomas Grace Henry Julia Oscar Martha Edwin Fiona Hugo Irene Walter".split()
+ENGLISH_LAST = "Harrow Whitlock Peters Calloway Bennett Carter Dawson Ellery Foster Granger Hollis Jennings Kessler Lockwood Marlow-Finch Norris Oakley Pruitt Quillon Redfern Stoddard-Lane Thornton".split()
+STREETS = ["Lê Lợi", "Trần Phú", "Hai Bà Trưng", "Bạch Đằng", "Hùng Vương", "Quang Trung", "Hoa Hồng", "Hoa Cúc Trắng", "Cây Đa", "Hàng Tre", "Bờ Kè", "Bến Nghé", "Sao Biển", "Gió Mới", "Mây Hồng", "Lá Xanh", "Đồng Khởi", "Nắng Sớm", "Chim Én", "Vườn Đào Nhỏ"]
+ENGLISH_STREETS = ["Maple Hill", "Old Mill", "Church", "River Bend", "Oak Park", "Station", "King George"]
+PLACES = ["An Phú", "Tân Bình", "Hòa Lạc", "Bình Minh", "Đông Hải", "Long Khánh", "Phú Mỹ", "Vĩnh Tường", "Thủ Thừa", "Xuân Lộc", "Cái Bè", "Gò Công", "Bến Tre", "Cầu Kè", "Mỏ Cày Nam", "Sông Cầu", "Đầm Dơi", "Hòn Đất", "Núi Thành", "Rạch Giá", "Kênh Xáng Mới", "Vàm Cỏ", "Suối Đá", "Đồi Cỏ Hồng", "Bãi Cháy", "Khe Sanh", "Đèo Ngang", "Ao Sen", "Ruộng Bậc", "Cồn Phụng"]
 KINDS = ["thôn", "xã", "ấp", "bến", "chợ", "phường", "thị trấn", "khu phố"]
 ORGS = ["trạm y tế", "ủy ban", "nhà văn hóa", "công an", "trường cấp hai", "hợp tác xã", "trung tâm dạy nghề", "ban quản lý chợ", "đoàn thanh niên", "hội phụ nữ"]
-ROLES = ["chị kế toán", "ông trưởng ấp", "cô giáo chủ nhiệm", "bác sĩ trực", "anh thợ lặn", "bà bán bún", "chú xe ôm", "thầy dạy toán", "em học sinh lớp chín", "người đánh cá", "bạn phát thanh viên", "cậu sinh viên năm cuối", "ông lão coi đình", "chú nuôi ong", "cô y tá", "anh kỹ sư cầu đường", "chị công nhân may", "bà cụ hái chè", "chị hàng xóm", "bác bảo vệ", "anh giao hàng", "ông làm vườn", "cô thủ thư", "bà mối", "ông chủ tiệm tạp hóa", "anh thợ hồ", "anh lái đò", "bạn quay phim", "chú thợ điện", "cô bán vải"]
-THINGS = ["máy bơm", "bức ảnh cưới", "cây cầu gỗ", "hồ sơ vay vốn", "chiếc ghe nhỏ", "bao lúa giống", "cuốn sổ tay", "mái nhà kho", "chuồng gà", "tủ thuốc", "sân bóng", "cái quạt máy", "đường ống nước", "tờ lịch treo tường", "loa phường"]
-FEELINGS = ["hồi hộp", "tự hào", "bối rối", "nóng ruột", "khỏe re", "vui hết biết", "chán chường", "nhẹ cả người", "ngại không dám nói"]
-TIMES = ["sáng nay", "hôm kia", "tối thứ sáu", "rạng sáng chủ nhật", "suốt tuần rồi", "trước mùa mưa", "hồi giữa năm", "sau tết", "đêm hôm trước", "chiều hôm qua"]
-WEATHER = ["trời âm u", "nước lên ngập sân", "gió bấc thổi mạnh", "sương xuống dày", "nắng như đổ lửa", "mây kéo đen kịt"]
-DISHES = ["bò kho", "canh chua", "gỏi cuốn", "xôi gấc", "mì xào", "cháo lươn", "bánh xèo", "bún riêu"]
-DOMAINS = ["hopthu.example", "thumoi.example", "mail.lang-que.example", "vanphong.test", "nhan-tin.invalid", "thu.example", "box.test"]
-HANDLES = ["hoc_doc", "bep_lang", "tin_gio", "song_que", "lop_moi", "gio.dong", "ke_chuyen"]
-GOODS = ["son bóng", "mật ong rừng", "ốp điện thoại", "khăn lụa", "gối ngủ tựa", "nồi chiên mini", "trà gạo lứt"]
-EN_ROLES = ["a night nurse", "the tax clerk", "the beekeeper", "a goat farmer", "the librarian", "the new intern", "the ferry pilot", "my older cousin", "our sound engineer", "two street vendors", "a retired welder", "the choir leader"]
-EN_THINGS = ["the seed catalogue", "three fishing nets", "a paper kite", "some clay jars", "a box of tapes", "an old tide table", "the school bell", "a wooden radio", "a cracked microphone", "the market ledger", "the bridge lamp"]
-EN_PLACES = ["at Windy Islet", "near Reed Landing", "on Sandal Creek", "by the Twin Bamboo bridge", "behind the Cloudfield kiln", "in the upper tea hills"]
-EN_TIMES = ["before sunrise", "around noon", "in the dry season", "while the ferry waited", "after the broadcast", "last harvest", "during the flood week", "on a quiet Tuesday"]
+TITLES = "anh chị ông bà cô chú bác em bạn cậu thầy người".split()
+ROLES = ["chị kế toán", "cô giáo chủ nhiệm", "bác sĩ", "chú bảo vệ", "anh thợ hồ", "bà cụ hàng xóm", "ông trưởng thôn", "em sinh viên", "thầy hiệu trưởng", "người lái đò", "cậu giao hàng", "chị bán rau", "anh công an", "cô y tá", "ông lão giữ đền", "ông lão câu cá", "bà cụ bán trà", "ông chủ quán", "bác nông dân", "cụ ông coi chùa", "chú lái xe tải", "cô thợ may", "bà nội trợ", "ông thầy thuốc nam"]
+THINGS = ["chiếc xe đạp", "cái bàn gỗ", "bộ ấm trà", "quyển lịch", "máy giặt", "cái nồi đất", "bức tranh", "mái tôn", "giếng nước", "hàng rào", "cuốn sách cũ", "cái thang", "con thuyền", "tấm bạt", "cánh cổng"]
+FEELINGS = ["vui lắm", "buồn hiu", "lo lắng", "tự hào", "mệt rã rời", "hồi hộp", "bực mình", "yên tâm", "ngạc nhiên"]
+TIMES = ["sáng nay", "hôm qua", "tối thứ bảy", "chiều chủ nhật", "tuần trước", "đầu mùa mưa", "giữa năm ngoái", "sau tết", "đêm rằm", "trưa nay"]
+WEATHER = ["trời mưa to", "nước dâng cao", "gió thổi mạnh", "sương mù dày", "nắng gắt", "trời trở lạnh"]
+DISHES = ["phở bò", "canh chua", "gỏi cuốn", "bánh xèo", "bún riêu", "cơm tấm", "chè đậu", "cá kho"]
+DOMAINS = ["thu.example", "box.test", "mail.truong-hoc.example", "congty.test", "hop-thu.invalid", "nhanh.example", "toa-soan.test"]
+HANDLES = ["hoc_moi", "bep_nha", "tin_sang", "lang_toi", "lop.hai", "ke_chuyen", "doc_sach"]
+GOODS = ["áo mưa", "kem dưỡng da", "nồi cơm điện", "tai nghe", "khăn tắm", "gối ôm", "trà gừng", "bàn chải điện"]
+EN_ROLES = ["the teacher", "a young farmer", "the bus driver", "our neighbour", "the shopkeeper", "two students", "my older cousin", "a retired nurse", "the sound engineer"]
+EN_THINGS = ["the old radio", "a paper map", "three boxes", "the school bell", "some clay jars", "a broken lamp", "the market list", "a wooden boat"]
+EN_PLACES = ["at Green Harbor", "near Stone Ferry", "on Willow Creek", "at Silver Bay", "by the Old Market bridge", "behind the Redhill school", "in the upper hills", "at North Point", "on the beach"]
+EN_TIMES = ["before sunrise", "around noon", "last week", "in the dry season", "after the show", "on a quiet Tuesday", "during the flood"]
 
 PERSONAL = [
     "Họ tên: [person_name|{name}]",
     "Khách mời hôm nay, [person_name|{name}], làm nghề đan lưới.",
     "Người gửi clip là [person_name|{name}].",
+    "Bài đọc do [person_name|{name}] soạn.",
+    "Ghi âm bởi [person_name|{name}], tầng ba.",
+    "Bên bán là ông [person_name|{name}], bên mua vắng mặt.",
     "Tôi tên là [person_name|{name}] ạ.",
     "(lời kể của cô [person_name|{name}])",
     "(lời kể của bác [person_name|{name}])",

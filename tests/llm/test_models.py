@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from phonoloom.llm import pii, toxicity
-from phonoloom.llm.crf import Crf, Words
+from phonoloom.llm.crf import Chunks, Crf, Words
 
 LABELS = "/root/testdata/sf0.001/content_labels.parquet"
 
@@ -37,13 +37,26 @@ def test_marginals_and_best_path_against_enumeration():
     assert np.isclose(xi.sum(), 5)
 
 
-def test_long_sequences_come_in_stretches():
+def test_long_sequences_are_decoded_whole():
     words = Words(lambda w: [w])
     m = Crf(["O", "A"], offsets=(0,), joint=())
     m.fit(words, [words.numbers(["x", "y"] * 5)] * 4, [[0, 1] * 5] * 4, epochs=5)
     long = words.numbers(["x", "y"] * 3000)
     assert m.viterbi(words, [long, [], words.numbers(["y"])])[0].tolist() == [0, 1] * 3000
     assert m.marginals(words, [long])[0].shape == (6000, 2)
+    # a label that never changes back is carried from the first token to the last
+    m.moves, m.first = np.array([[0.0, -50.0], [-50.0, 0.0]]), np.array([0.0, 3.0])
+    m.weights[:] = 0
+    assert m.viterbi(words, [long])[0].tolist() == [1] * 6000 and m.marginals(words, [long])[0][-1, 1] > 0.9
+
+
+def test_chunks_are_numbered_like_tokens():
+    text = "Ai? ai 0912.345,67\n(ai)  @x_y  m\u0301ẹ²"
+    chunks = Chunks(Words(pii.attributes), pii.cut, most=3)
+    for _ in range(3):
+        (numbers,) = chunks.sequences([text])
+        assert numbers.tolist() == chunks.words.numbers(pii.located(text)[0])
+    assert [len(s) for s in chunks.sequences(["", " ", "a b"])] == [0, 0, 2] and chunks.sequences([]) == []
 
 
 def test_masked_words_have_one_form():
@@ -82,21 +95,40 @@ def test_scores_of_a_table(spark):
     assert toxicity.score(df.limit(0), spark.read.parquet(LABELS)).count() == 0
 
 
-def test_personal_information_held_out():
-    """Sentences filled anew with another seed: what is found against what was put in."""
-    field, words = pii.trained(), Words(pii.attributes)
+def test_personal_information_held_out(monkeypatch):
+    """Sentences, names and places that training has not seen: what is found against what was put in."""
+    from phonoloom.llm import pii_labels as t
+
+    # every fifth sentence is kept back, and with it its fillings
+    unseen = t.PERSONAL[::5] + t.ORDINARY[::5]
+    monkeypatch.setattr(t, "PERSONAL", [s for k, s in enumerate(t.PERSONAL) if k % 5])
+    monkeypatch.setattr(t, "ORDINARY", [s for k, s in enumerate(t.ORDINARY) if k % 5])
+    pii.trained.cache_clear()
+    field = pii.trained()
+    pii.trained.cache_clear()
+    others = {"GIVEN": "Thục Nhẫn Xoan Quế Sang Lượng Toại Vĩ Oanh Thơ", "MIDDLES": "Bá Cát Hoàng Mạnh Như Tấn Thế", "ENGLISH_FIRST": "Brian Clara Doris Frank", "ENGLISH_LAST": "Ashby Colburn Deane Hartwell"}
+    for name, words in others.items():
+        monkeypatch.setattr(t, name, words.split())
+    monkeypatch.setattr(t, "PLACES", ["Yên Thế", "Cẩm Khê", "Lộc Ninh", "Ba Tri", "Nước Hai"])
+    monkeypatch.setattr(t, "STREETS", ["Cách Mạng", "Hàm Nghi", "Tô Hiến Thành", "Hoa Lan"])
+    monkeypatch.setattr(t, "DOMAINS", ["nha-toi.example", "khac.test"])
     f = pii._Filler(99)
-    from phonoloom.llm import pii_labels
-
     right = found_n = want_n = 0
-    cases = [f.fill(s) for s in pii_labels.PERSONAL + pii_labels.ORDINARY for _ in range(3)]
-    for (text, spans), own in zip(cases, pii._found([t for t, _ in cases], field, words)):
+    cases = [f.fill(s) for s in unseen for _ in range(20)]
+    for (text, spans), own in zip(cases, pii._found([x for x, _ in cases], field, Chunks(Words(pii.attributes), pii.cut))):
         want = {(a, k) for a, _, k in spans}
         got = {(a, k) for a, _, k in own}
         right += len(want & got)
         found_n += len(got)
         want_n += len(want)
-    assert right / want_n > 0.97 and right / found_n > 0.97
+    print("held out:", right, want_n, found_n)
+    assert right / want_n > 0.7 and right / found_n > 0.9
+
+
+def test_spoken_addresses():
+    for s in ("an.b41 [a còng] nha-toi chấm example", "an.b41 @ nha-toi.example", "an.b41(at)nha-toi.example", "AN.B41 a còng nha-toi chấm vn chấm example"):
+        text = f"Thư gửi về {s} nhé."
+        assert pii.checked(text, text.index(s), text.index(s) + len(s), "email") == (11, 11 + len(s))
 
 
 def test_places_of_personal_information(spark):
