@@ -59,19 +59,28 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{shared_dir.own}"
 
 
-def _drop(path: str) -> None:
-    if path.startswith("file:"):
-        shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+_OWN: set[str] = set()
+
+
+def own_dir(spark: SparkSession, what: str) -> str:
+    """A new name below this application's part of the shared folder. The whole part goes when the application ends,
+    whatever file system it is on."""
+    root = f"{shared_dir(spark).rstrip('/')}/phonoloom-{spark.sparkContext.applicationId}"
+    if root not in _OWN:
+        _OWN.add(root)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return f"{root}/{what}-{uuid.uuid4().hex[:12]}"
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: the lineage ends here, a lost executor costs
-    one read, and the planner knows the size. Local copies go when the driver ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex[:12]}"
+    """``df`` written once to the shared folder and read back: the lineage ends here, a lost executor costs one read,
+    and the planner knows the size."""
+    path = own_dir(df.sparkSession, what)
     df.write.parquet(path)
-    atexit.register(_drop, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(scan: DataFrame) -> DataFrame:

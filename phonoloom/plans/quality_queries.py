@@ -5,15 +5,13 @@ Those of sinks write, read again and are compared with SQL over what went in. Th
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from phonoloom.functions import classify, dates, scores, signal, spectral, text
 from phonoloom.functions.numbers import rounded
 from phonoloom.operators import cache, dedup, gates, quality, reconcile, rollup, segment
 from phonoloom.plans import mastering, pipeline, queries as base
-from phonoloom.plans.cluster import shared_dir, table
+from phonoloom.plans.cluster import own_dir, table
 from phonoloom.plans.registry import Registry
 from phonoloom.sources import landing, sinks
 from phonoloom.streaming import events as streams
@@ -24,10 +22,6 @@ query, queries, oracle_sql = REGISTRY.query, REGISTRY.queries, REGISTRY.oracle_s
 _local, _day, _nan, _words, _week = base._local, base._day, base._nan, base._words, base._week
 
 
-def _folder(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/sinks/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex[:12]}"
-
-
 def _known(column: str) -> Column:
     return F.nanvl(column, F.lit(None))
 
@@ -63,7 +57,7 @@ def channel_expand(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT platform, count(*) AS n, count(DISTINCT url) AS urls, count(error) AS told FROM error_log GROUP BY platform")
 def error_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The error log as JSON lines among lines that can't be read."""
-    path = _folder(spark, "errors")
+    path = own_dir(spark, "errors")
     lines = table(spark, sf, "error_log").select(F.to_json(F.struct("*")).alias("value"))
     broken = table(spark, sf, "error_log").select(F.concat(F.lit('{"url": '), F.coalesce("platform", F.lit(""))).alias("value"))
     lines.unionByName(broken).write.text(path)
@@ -73,7 +67,7 @@ def error_lines(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT platform, count(*) AS n, count(DISTINCT item_id) AS items, round(sum(CASE WHEN isnan(duration_seconds) THEN 0.0 ELSE coalesce(duration_seconds, 0.0) END), 2) AS seconds, count(platform_meta.is_duet) AS told FROM metadata_extended WHERE item_id IS NOT NULL GROUP BY platform")
 def record_files(spark: SparkSession, sf: str) -> DataFrame:
     """Delivered records as JSON, read again with their schema."""
-    path = _folder(spark, "records")
+    path = own_dir(spark, "records")
     sinks.spec_columns(table(spark, sf, "metadata_extended").where("item_id is not null")).write.json(path)
     rows = landing.record_files(spark, path, lines=True)
     seconds = F.round(F.sum(F.coalesce(_known("duration_seconds"), F.lit(0.0))), 2)
@@ -112,7 +106,7 @@ def format_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT {_week('cast(' + _day('crawled_at') + ' AS date)')} AS week, {_day('crawled_at')} AS day, count(*) AS n, count(DISTINCT item_id) AS items, 'research_only' AS legal_license FROM metadata_extended WHERE crawled_at IS NOT NULL GROUP BY 1, 2")
 def written_records(spark: SparkSession, sf: str) -> DataFrame:
-    path = _folder(spark, "table")
+    path = own_dir(spark, "table")
     rows = table(spark, sf, "metadata_extended").where("crawled_at is not null")
     sinks.write_records(sinks.extended(sinks.spec_columns(rows), {"transcript_raw": F.lit(None).cast("string")}), path, base.day_of("crawled_at"))
     back = spark.read.parquet(path)
@@ -121,7 +115,7 @@ def written_records(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT separation_model, 'research_only' AS label, count(*) AS n, count(duration_seconds) AS durations, count(processed_at) AS times FROM metadata GROUP BY separation_model")
 def gold_lines(spark: SparkSession, sf: str) -> DataFrame:
-    path = _folder(spark, "gold")
+    path = own_dir(spark, "gold")
     sinks.write_json_lines(table(spark, sf, "metadata"), path)
     back = spark.read.schema(landing.GOLD_SCHEMA).json(path)
     return back.groupBy("separation_model", "label").agg(F.count("*").alias("n"), F.count("duration_seconds").alias("durations"), F.count("processed_at").alias("times"))
@@ -129,7 +123,7 @@ def gold_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {base._DAYS} SELECT day, items, total_hours, errors, items + errors AS attempted, printf('%.1f', CASE WHEN items + errors > 0 THEN round(items / (items + errors) * 100, 1) ELSE 0.0 END) || '%' AS yield_rate FROM days")
 def summary_files(spark: SparkSession, sf: str) -> DataFrame:
-    path = _folder(spark, "summary")
+    path = own_dir(spark, "summary")
     sinks.write_summary(rollup.yield_funnel(base.day_summary(spark, sf)), path)
     return spark.read.json(path).select("day", "items", "total_hours", "errors", "attempted", "yield_rate")
 
@@ -145,7 +139,7 @@ def _gated(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_GATES} SELECT strftime(crawled_at, '%Y-%m-%d') AS day, reason, count(*) AS n FROM g WHERE reason IS NOT NULL AND crawled_at IS NOT NULL GROUP BY 1, 2")
 def quarantine_by_day(spark: SparkSession, sf: str) -> DataFrame:
-    path = _folder(spark, "quarantine")
+    path = own_dir(spark, "quarantine")
     sinks.write_quarantine(_gated(spark, sf).select("item_id", "crawled_at", "reject_reason"), path)
     return spark.read.parquet(path).groupBy(F.date_format("crawl_date", "yyyy-MM-dd").alias("day"), F.col("reject_reason").alias("reason")).agg(F.count("*").alias("n"))
 
@@ -157,7 +151,7 @@ SELECT strftime(crawled_at, '%Y-%m-%d') AS day, count(*) AS n FROM g LEFT JOIN k
 def day_rewrite(spark: SparkSession, sf: str) -> DataFrame:
     """A table of days of which the later ones are written anew without rejected records; the others stay, and so do
     days of which nothing is written."""
-    path = _folder(spark, "days")
+    path = own_dir(spark, "days")
     rows = _gated(spark, sf).where("crawled_at is not null").select("item_id", "crawled_at", "reject_reason")
     sinks.write_records(rows, path, F.to_date("crawled_at"))
     later = rows.where("crawled_at >= timestamp '2026-09-10 00:00:00'")
@@ -167,7 +161,7 @@ def day_rewrite(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT key FROM ({base._seen('metadata')} UNION {base._seen('metadata_incoming')}) WHERE key IS NOT NULL")
 def seen_persisted(spark: SparkSession, sf: str) -> DataFrame:
-    seen = sinks.SeenSet(spark, _folder(spark, "seen"))
+    seen = sinks.SeenSet(spark, own_dir(spark, "seen"))
     for name in ("metadata", "metadata_incoming"):
         seen.add(table(spark, sf, name))
     return seen.read()
@@ -175,7 +169,7 @@ def seen_persisted(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT platform, error, count(*) AS n FROM error_log WHERE url IS NULL OR url NOT IN (SELECT source_url FROM metadata WHERE source_url IS NOT NULL) GROUP BY 1, 2")
 def errors_rewritten(spark: SparkSession, sf: str) -> DataFrame:
-    log = sinks.Versioned(spark, _folder(spark, "log"), landing.ERROR_SCHEMA)
+    log = sinks.Versioned(spark, own_dir(spark, "log"), landing.ERROR_SCHEMA)
     log.replace(table(spark, sf, "error_log").select("url", "item_id", "platform", "error", F.col("failed_at").cast("timestamp").alias("failed_at")))
     sinks.rewrite_errors(log, table(spark, sf, "metadata").select(F.col("source_url").alias("url")).where("url is not null"))
     return log.read().groupBy("platform", "error").agg(F.count("*").alias("n"))
@@ -447,7 +441,7 @@ def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_CLEANED} SELECT doc_id, reason, CASE WHEN reason = 'duplicate' THEN first ELSE -1 END AS original FROM c WHERE reason IS NOT NULL")
 def qc_report(spark: SparkSession, sf: str) -> DataFrame:
-    path = _folder(spark, "report")
+    path = own_dir(spark, "report")
     quality.removed_rows(_cleaned(spark, sf), "doc_id").write.parquet(path)
     return spark.read.parquet(path).withColumn("original", F.coalesce("original", F.lit(-1)))
 
@@ -514,13 +508,13 @@ def stream_by_key(spark: SparkSession, sf: str) -> DataFrame:
     """The first failure of each address from a stream whose batches may come again."""
     schema = "url string, item_id string, platform string, error string, failed_at timestamp"
     stream = streams.read_stream(spark, sf, "error_log", schema, at="failed_at").where("failed_at is not null")
-    return streams.keep_by_key(stream, "url", ["failed_at"], _folder(spark, "stream")).select("url", F.date_format("failed_at", "yyyy-MM-dd HH:mm:ss").alias("first_failed"))
+    return streams.keep_by_key(stream, "url", ["failed_at"], own_dir(spark, "stream")).select("url", F.date_format("failed_at", "yyyy-MM-dd HH:mm:ss").alias("first_failed"))
 
 
 @query("SELECT DISTINCT audio_path AS path, 'small' AS model, 30.0::double AS max_seconds, md5(audio_path) AS transcript FROM metadata WHERE audio_path IS NOT NULL")
 def transcript_cache(spark: SparkSession, sf: str) -> DataFrame:
     """Transcripts made in two turns, of which the second makes only what is missing."""
-    held = cache.TranscriptCache(spark, _folder(spark, "cache"))
+    held = cache.TranscriptCache(spark, own_dir(spark, "cache"))
     make = lambda keys: keys.withColumn("transcript", F.md5("path"))
     asked = [table(spark, sf, t).select(F.col("audio_path").alias("path"), F.lit("small").alias("model"), F.lit(30.0).alias("max_seconds")) for t in ("metadata_extended", "metadata")]
     held.get(asked[0], make)

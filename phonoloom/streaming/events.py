@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from phonoloom.plans.cluster import shared_dir
+from phonoloom.plans.cluster import own_dir
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -48,7 +47,7 @@ def run_to_table(stream: DataFrame, mode: str = "append") -> DataFrame:
     shared folder, so that a restarted run goes on where it was. In append mode windows that the watermark has not passed
     at the end don't come out; ``tumbling_of_stream`` has them all."""
     spark = stream.sparkSession
-    base = f"{shared_dir(spark).rstrip('/')}/streams/{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
+    base = own_dir(spark, "stream")
     query = stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
@@ -67,7 +66,7 @@ def count_into(stream: DataFrame, by: str, path: str) -> None:
 
 def funnel_of_stream(spark: SparkSession, root: str) -> DataFrame:
     """(event_type, n) of the events, counted incrementally."""
-    path = f"{shared_dir(spark).rstrip('/')}/streams/{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
+    path = own_dir(spark, "stream")
     count_into(read_stream(spark, root), "event_type", path)
     return spark.read.parquet(f"{path}/counts").groupBy("event_type").agg(F.sum("n").alias("n"))
 
@@ -75,7 +74,7 @@ def funnel_of_stream(spark: SparkSession, root: str) -> DataFrame:
 def tumbling_of_stream(spark: SparkSession, root: str, width: str = "1 hour", files_at_once: int = 64) -> DataFrame:
     """What ``tumbling`` gives of the table, counted incrementally: each micro-batch's windows are written as a new file
     and added up, so that none waits for a watermark and no row is too late."""
-    path = f"{shared_dir(spark).rstrip('/')}/streams/{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
+    path = own_dir(spark, "stream")
 
     def add(batch: DataFrame, number: int) -> None:
         parts = batch.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))

@@ -1,6 +1,7 @@
 """Duplicates, seen sets, reconciling, rollups, streams, and the registry."""
 
 import datetime
+import random
 import glob
 import importlib
 import json
@@ -48,10 +49,14 @@ def test_latest_status(spark):
 
 def test_components(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("d", "e"), ("f", "f"), (None, "x"), ("e", "d")], "src string, dst string")
-    assert rows(components.connected_components(edges)) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "d")]
+    for small in (0, 50_000):
+        assert rows(components.connected_components(edges, small=small)) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "d")]
     chain = spark.range(300).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
-    assert components.connected_components(chain).select("component").distinct().count() == 1
-    assert components.connected_components(edges.limit(0)).count() == 0
+    assert components.connected_components(chain, small=0).select("component").distinct().count() == 1
+    assert components.connected_components(edges.limit(0)).count() == components.connected_components(edges.limit(0), small=-1).count() == 0
+    rng = random.Random(4)
+    many = spark.createDataFrame([(rng.randrange(400), rng.randrange(400)) for _ in range(330)], "src int, dst int")
+    assert rows(components.connected_components(many, small=0)) == rows(components.connected_components(many))
 
 
 def test_running_sum(spark):
