@@ -2,8 +2,12 @@
 
 Content is cut where a rolling hash of its last bytes says so, so that equal stretches give equal chunks
 wherever they stand. A persistent table says which contents hold a chunk; the bytes a new content shares with an
-old one are those of the chunks they share. For records, the content is what their ids and addresses name
-(:mod:`identity`), in its one canonical spelling.
+old one are those of the chunks they share. For records, the contents are what their ids and addresses name
+(:mod:`identity`), a line each in its one canonical spelling, cut fine enough that a line is several chunks; a line
+that shares most of its bytes with an old one is a candidate, and an exact check follows.
+
+The history knows each line's video by a label. A batch reads the table's rows of its own chunks and the lines they
+lead to, never the records or links behind them; labels that a batch shows to be one video are merged in a small table.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from phonoloom.plans.cluster import stored
 
 #: Bytes the rolling hash looks back, the least and the largest chunk, and one boundary in so many places.
 WINDOW, LEAST, MOST, ONE_IN = 8, 24, 256, 16
+#: The same for lines that name a video, and the share of a line's bytes that makes a candidate.
+LINE_CUT, LINE_COVERAGE = {"least": 6, "most": 64, "one_in": 4}, 0.8
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,118 +84,143 @@ def content_chunks(contents: DataFrame, key: str = "content", text: str | None =
 def covered(new: DataFrame, old: DataFrame, coverage: float = 1.0) -> DataFrame:
     """(content, match, shared, total): pairs of a new and an old content that share ``coverage`` of the new one's bytes.
 
-    Both are tables of :func:`content_chunks`. Only chunks that must contain a match are looked up: a new
-    content's rarest chunks, until the rest alone could no longer reach the coverage. Nothing is lost by that,
-    and a chunk that very many contents hold is not looked up unless a content has nothing rarer.
+    Both are tables of :func:`content_chunks`. Only the old rows of the new contents' chunks are read. Only chunks that
+    must contain a match are looked up: a new content's rarest chunks, until the rest alone could no longer reach the
+    coverage. Nothing is lost by that, and a chunk that very many contents hold is not looked up unless a content has
+    nothing rarer.
     """
-    seen = old.groupBy("chunk").agg(F.count("*").alias("_held"))
-    own = new.groupBy("content", "chunk").agg(F.sum("n_bytes").alias("n_bytes")).join(seen, "chunk", "left").withColumn("_held", F.coalesce("_held", F.lit(0)))
+    own = new.groupBy("content", "chunk").agg(F.sum("n_bytes").alias("n_bytes"))
+    touched = old.select("content", "chunk").join(own.select("chunk").distinct(), "chunk", "left_semi")
+    seen = touched.groupBy("chunk").agg(F.count("*").alias("_held"))
+    ranked = own.join(seen, "chunk", "left").withColumn("_held", F.coalesce("_held", F.lit(0)))
     w = Window.partitionBy("content")
-    ranked = own.withColumn("total", F.sum("n_bytes").over(w)).withColumn("_before", F.coalesce(F.sum("n_bytes").over(w.orderBy("_held", "chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ranked = ranked.withColumn("total", F.sum("n_bytes").over(w)).withColumn("_before", F.coalesce(F.sum("n_bytes").over(w.orderBy("_held", "chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     # chunks from here on hold less than the coverage: a match must hold one of those before
     probes = ranked.where((F.col("total") - F.col("_before") >= F.col("total") * coverage) & (F.col("_held") > 0))
-    pairs = probes.join(old.select(F.col("content").alias("match"), "chunk"), "chunk").select("content", "match", "total").distinct()
-    held = old.groupBy(F.col("content").alias("match")).agg(F.collect_set("chunk").alias("_chunks"))
-    mine = own.groupBy("content").agg(F.collect_list(F.struct("chunk", "n_bytes")).alias("_own"))
-    both = pairs.join(mine, "content").join(held, "match")
-    shared = F.aggregate(F.filter("_own", lambda c: F.array_contains("_chunks", c["chunk"])), F.lit(0).cast("bigint"), lambda s, c: s + c["n_bytes"])
-    return both.select("content", "match", shared.alias("shared"), "total").where(F.col("shared") >= F.col("total") * coverage)
+    pairs = probes.join(touched.withColumnRenamed("content", "match"), "chunk").select("content", "match", "total").distinct()
+    both = pairs.join(own, "content").join(touched.select(F.col("content").alias("match"), "chunk").distinct(), ["match", "chunk"])
+    return both.groupBy("content", "match").agg(F.sum("n_bytes").alias("shared"), F.first("total").alias("total")).where(F.col("shared") >= F.col("total") * coverage)
 
 
 class ChunkHistory:
-    """What has been accepted so far: chunks with the content they are of, and the batch that brought them.
+    """What has been accepted so far, below ``path``: a folder a batch with its new lines (contents), their chunks by
+    bucket, and how labels were merged up to then; a batch counts once its commit is written.
 
-    The table stands below ``path`` as Parquet, a folder for every batch; a new batch is joined with it by chunk
-    and appended, the records behind it are never read again. Links between contents (two keys that one record
-    names) are kept the same way.
+    A batch that is taken in again, after a failure or by mistake, replaces its own folders before its commit and
+    changes nothing after it; either way its result is that against the batches below it.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    CHUNKS, CONTENTS, MERGES = "chunk bigint, content bigint, n_bytes int", "content bigint, line string, label string", "label string, into string"
 
-    CHUNKS = "content string, chunk_no int, chunk bigint, n_bytes int, batch_no int"
-    LINKS = "src string, dst string, batch_no int"
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 8):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
 
-    def _read(self, name: str, schema: str) -> DataFrame:
+    def commits(self, before: int | None = None) -> dict[int, int]:
+        """Batches taken in, in order, with the batch whose table of merges was the current one after it."""
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except Exception as e:  # nothing was appended yet
+            rows = self.spark.read.schema("batch int, merges int").option("recursiveFileLookup", "true").json(f"{self.path}/commits").collect()  # one row a batch
+        except Exception as e:  # nothing was taken in yet
             if "PATH_NOT_FOUND" not in str(e):
                 raise
+            return {}
+        return {r["batch"]: r["merges"] for r in sorted(rows) if before is None or r["batch"] < before}
+
+    def _read(self, name: str, schema: str, batches: list[int]) -> DataFrame:
+        if not batches:
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(*[f"{self.path}/{name}/batch={b}" for b in batches])
+
+    def chunks(self, commits: dict[int, int], of: DataFrame | None = None) -> DataFrame:
+        """Chunks of the batches, of the buckets that the chunks of ``of`` fall into."""
+        rows = self._read("chunks", f"{self.CHUNKS}, bucket int", list(commits))
+        if of is not None and commits:
+            used = [r[0] for r in of.select(self._bucket()).distinct().collect()]  # at most as many as there are buckets
+            rows = rows.where(F.col("bucket").isin(used)) if len(used) < self.buckets else rows
+        return rows.drop("bucket")
+
+    def contents(self, commits: dict[int, int]) -> DataFrame:
+        return self._read("contents", self.CONTENTS, list(commits))
 
-    @property
-    def chunks(self) -> DataFrame:
-        return self._read("chunks", self.CHUNKS)
+    def merges(self, commits: dict[int, int]) -> DataFrame:
+        """(label, into): what every label that was merged is now."""
+        current = list(commits.values())[-1:]
+        return self._read("merges", self.MERGES, [b for b in current if b is not None])
 
-    @property
-    def links(self) -> DataFrame:
-        return self._read("links", self.LINKS)
+    def _bucket(self):
+        return F.pmod(F.col("chunk"), F.lit(self.buckets)).cast("int").alias("bucket")
 
-    def append(self, chunks: DataFrame, links: DataFrame) -> None:
-        chunks.select("content", "chunk_no", "chunk", "n_bytes", F.col("batch_no").cast("int")).write.mode("append").parquet(f"{self.path}/chunks")
-        links.select("src", "dst", F.col("batch_no").cast("int")).write.mode("append").parquet(f"{self.path}/links")
+    def commit(self, batch: int, merges: int | None) -> None:
+        """From here on the batch counts."""
+        row = self.spark.range(1, numPartitions=1).select(F.lit(batch).cast("int").alias("batch"), F.lit(merges).cast("int").alias("merges"))
+        row.write.mode("overwrite").json(f"{self.path}/commits/batch={batch}")
 
-    def ingest(self, keyed: DataFrame) -> DataFrame:
-        """Takes in records (id_key, address_key, batch_no); gives (content, first_batch), one row for every content
-        named by them: the lowest batch, here or in the history, that names its video.
+    def ingest(self, batch: int, keyed: DataFrame) -> DataFrame:
+        """Takes in the keys (id_key, address_key) of a batch's records; gives (line, video, seen) for every line they
+        name: the label of its video as of now, and whether a lower batch knows the video.
 
-        Several batches may come at once; the result is that of taking them one by one, since a content's first
-        batch depends on what was seen, not on what was decided. Contents that the history covers are not appended
-        again.
+        A video is known through any chain of links that this batch or a lower one tells of.
         """
-        pairs = stored(keyed.groupBy("id_key", "address_key").agg(F.min("batch_no").alias("batch_no")), "p3-pairs")
-        named = pairs.select(F.explode(F.array("id_key", "address_key")).alias("content"), "batch_no").where("content is not null")
-        contents = named.groupBy("content").agg(F.min("batch_no").alias("batch_no"))
-        chunks = stored(content_chunks(contents).join(contents, "content"), "p3-chunks")
-        old = self.chunks
-        known = covered(chunks, old).where("content = match")  # coverage says the bytes agree; this, in their order
-        known = stored(known.join(old.groupBy("content").agg(F.min("batch_no").alias("_first")), "content").select("content", "_first"), "p3-known")
-        links = pairs.where("id_key <> address_key").select(F.col("id_key").alias("src"), F.col("address_key").alias("dst"), "batch_no")
-        every = self.links.unionByName(links)
-        labels = stored(connected_components(every), "p3-labels")
-        first = contents.join(known, "content", "left").select("content", F.least("batch_no", F.coalesce("_first", "batch_no")).alias("_first"))
-        # a linked content's video may be known through contents that this batch doesn't name
-        linked_old = old.groupBy("content").agg(F.min("batch_no").alias("_first"))
-        mine = first.join(labels, first.content == labels.node, "left").select("content", "_first", F.coalesce("component", "content").alias("video"))
-        through = labels.join(linked_old, labels.node == linked_old.content).groupBy(F.col("component").alias("video")).agg(F.min("_first").alias("_through"))
-        by_video = mine.groupBy("video").agg(F.min("_first").alias("_first"))
-        by_video = by_video.join(through, "video", "left").select("video", F.least("_first", F.coalesce("_through", "_first")).alias("first_batch"))
-        result = stored(mine.select("content", "video").join(by_video, "video"), "p3-first")
-        fresh = chunks.join(known, "content", "left_anti")
-        new_links = links.join(self.links.select("src", "dst").distinct(), ["src", "dst"], "left_anti") if self._has_links() else links
-        self.append(fresh, new_links)
-        return result
-
-    def _has_links(self) -> bool:
-        return not self.links.isEmpty()
+        every = self.commits()
+        commits = {b: m for b, m in every.items() if b < batch}
+        pairs = keyed.select("id_key", "address_key").distinct()
+        lines = pairs.select(F.explode(F.array("id_key", "address_key")).alias("line")).where("line is not null").distinct().withColumn("content", F.xxhash64("line"))
+        chunks = stored(content_chunks(lines, "content", "line", **LINE_CUT), "p3-chunks")
+        near = covered(chunks, self.chunks(commits, chunks), LINE_COVERAGE)
+        old = self.contents(commits).select(F.col("content").alias("match"), F.col("line").alias("_line"), "label")
+        exact = near.join(old, "match").join(lines, "content").where("line = _line")  # coverage says most bytes agree; this, all of them
+        known = exact.select("line", "label").join(self.merges(commits), "label", "left").select("line", F.coalesce("into", "label").alias("label"))
+        # the batch's graph: old labels and new lines
+        node = lines.join(known, "line", "left").select("line", "content", F.coalesce("label", "line").alias("node"), F.col("label").isNotNull().alias("old"))
+        node = stored(node, "p3-nodes")
+        at = lambda c: node.select(F.col("line").alias(c), F.col("node").alias(f"_{c}"))
+        edges = pairs.where("id_key <> address_key").join(at("id_key"), "id_key").join(at("address_key"), "address_key")
+        labels = connected_components(edges.where("_id_key <> _address_key"), "_id_key", "_address_key")
+        joined = node.join(labels, "node", "left").withColumn("video", F.coalesce("component", "node")).drop("component")
+        seen = joined.groupBy("video").agg(F.bool_or("old").alias("seen"))
+        result = stored(joined.join(seen, "video").select("line", "content", "node", "old", "video", "seen"), "p3-result")
+        if batch not in every:
+            fresh = result.where("not old").select("content", "line", F.col("video").alias("label"))
+            fresh.write.mode("overwrite").parquet(f"{self.path}/contents/batch={batch}")
+            new = chunks.join(fresh, "content", "left_semi").select("chunk", "content", "n_bytes", self._bucket())
+            new.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/chunks/batch={batch}")
+            self.commit(batch, self._merge(batch, commits, result))
+        return result.select("line", "video", "seen")
+
+    def _merge(self, batch: int, commits: dict[int, int], result: DataFrame) -> int | None:
+        """Writes the table of merges anew if the batch has merged any; the batch that has the current one."""
+        moved = result.where("old and node <> video").select(F.col("node").alias("label"), F.col("video").alias("into")).distinct()
+        if moved.isEmpty():
+            return list(commits.values())[-1] if commits else None
+        before = self.merges(commits).withColumnRenamed("into", "_i").join(moved.withColumnRenamed("label", "_i").withColumnRenamed("into", "_j"), "_i", "left")
+        before.select("label", F.coalesce("_j", "_i").alias("into")).unionByName(moved).write.mode("overwrite").parquet(f"{self.path}/merges/batch={batch}")
+        return batch
 
 
 def repeated_records(history: ChunkHistory, batches: DataFrame, number: str = "record_no", batch: str = "batch_no") -> DataFrame:
     """(number) of the records that bring nothing new: their video is in the history or a lower batch, or a lower
     number of their batch has the same video and segment (no segment number equals no segment number).
 
-    Records that name no video are new. Records are taken into the history whether or not they repeat one:
-    repeating says nothing new, so nothing is appended for them. An empty batch gives an empty result.
+    Batches are taken in one after another in the order of their numbers, each against what its predecessors left in
+    the history. Records that name no video are new; records without a batch number have no place in the order and no
+    row. Records are taken into the history whether or not they repeat one: repeating says nothing new, so nothing is
+    appended for them. An empty table gives an empty result.
     """
-    keyed = with_video_keys(batches.select(F.col(number).alias("_no"), F.col(batch).alias("batch_no"), "item_id", "source_url"))
-    keyed = stored(keyed.select("_no", "batch_no", "id_key", "address_key", "segment"), "p3-keyed")
-    first = history.ingest(keyed.where("id_key is not null or address_key is not null"))
-    one = keyed.withColumn("content", F.coalesce("id_key", "address_key")).where("content is not null")
-    at = one.join(first, "content")
+    keyed = with_video_keys(batches.where(F.col(batch).isNotNull()).select(F.col(number).alias("_no"), F.col(batch).cast("int").alias("batch_no"), "item_id", "source_url"))
+    keyed = stored(keyed.select("_no", "batch_no", "id_key", "address_key", "segment"), "p3-keyed").where("id_key is not null or address_key is not null")
+    known = keyed.select("batch_no", F.col("id_key").alias("line"), F.col("id_key").alias("video"), F.lit(False).alias("seen")).limit(0)
+    for (no,) in sorted(keyed.select("batch_no").distinct().collect()):  # one row a batch
+        known = known.unionByName(history.ingest(no, keyed.where(F.col("batch_no") == no)).withColumn("batch_no", F.lit(no)))
+    at = keyed.withColumn("line", F.coalesce("id_key", "address_key")).join(known, ["batch_no", "line"])
     lowest = at.groupBy("batch_no", "video", "segment").agg(F.min("_no").alias("_lowest"))
     same = (F.col("a.batch_no") == F.col("l.batch_no")) & (F.col("a.video") == F.col("l.video")) & F.col("a.segment").eqNullSafe(F.col("l.segment"))
-    both = at.alias("a").join(lowest.alias("l"), same)
-    return both.where("a.first_batch < a.batch_no or l._lowest < a._no").select(F.col("a._no").alias(number))
+    return at.alias("a").join(lowest.alias("l"), same).where("a.seen or l._lowest < a._no").select(F.col("a._no").alias(number))
 
 
 def start_history(spark: SparkSession, path: str, accepted: DataFrame) -> ChunkHistory:
-    """A history that holds the accepted records, as batch 0."""
+    """A history that holds the accepted records, as batch 0. This once, all of them are read and linked."""
     history = ChunkHistory(spark, path)
-    keyed = with_video_keys(accepted.select("item_id", "source_url")).select("id_key", "address_key", F.lit(0).alias("batch_no"))
+    keyed = with_video_keys(accepted.select("item_id", "source_url")).select("id_key", "address_key")
     # parsed once: a filter on parsed columns would be planned below the projection and parse again
-    pairs = stored(keyed.distinct(), "p3-history").where("id_key is not null or address_key is not null")
-    contents = pairs.select(F.explode(F.array("id_key", "address_key")).alias("content")).where("content is not null").distinct()
-    links = pairs.where("id_key <> address_key").select(F.col("id_key").alias("src"), F.col("address_key").alias("dst"), "batch_no")
-    history.append(content_chunks(contents).withColumn("batch_no", F.lit(0)), links)
+    keyed = stored(keyed.distinct(), "p3-history").where("id_key is not null or address_key is not null")
+    history.ingest(0, keyed)
     return history

@@ -444,8 +444,8 @@ def near_copies(df: DataFrame, key: str = "item_id", text: str = "transcript_raw
 
 
 def exact_copies(df: DataFrame, key: str = "item_id", text: str = "transcript_raw", n: int = 3, least_words: int = 40) -> DataFrame:
-    """(key, representative, text_id): every record with a text that ``near_copies`` compares, and the smallest key that has
-    the same text, byte by byte. Records of one text_id are pairs of each other, so that with the rows of
+    """(key, representative, text_id): every record with a text that ``near_copies`` compares, the smallest key that has
+    the same text, byte by byte, and the text's MD5. Records of one text_id are pairs of each other, so that with the rows of
     ``near_copies`` all pairs follow. A key with several texts has a row for each."""
 
     def long_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,9 +453,9 @@ def exact_copies(df: DataFrame, key: str = "item_id", text: str = "transcript_ra
             keep = [len(WORD.findall(t.lower())) >= max(least_words, n) for t in batch.column(2).to_pylist()]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    rows = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, F.xxhash64(text).alias("text_id"), text)
+    rows = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, F.md5(text).alias("text_id"), text)
     kind = rows.schema[key].dataType.simpleString()
-    kept = stored(rows.mapInArrow(long_enough, f"`{key}` {kind}, text_id bigint").distinct(), "p6-exact")
+    kept = stored(rows.mapInArrow(long_enough, f"`{key}` {kind}, text_id string").distinct(), "p6-exact")
     return kept.join(kept.groupBy("text_id").agg(F.min(key).alias("representative")), "text_id").select(key, "representative", "text_id")
 
 

@@ -41,13 +41,6 @@ def linked_records(df: DataFrame, item_id: str = "item_id", address: str = "sour
     return items.join(labels, items.home == labels.node, "left").select("item_id", F.coalesce("component", "home").alias("component"))
 
 
-def video_groups(df: DataFrame, item_id: str = "item_id", address: str = "source_url") -> DataFrame:
-    """(item_id, group_id) of the records whose video has at least two ids; group_id is the smallest of them."""
-    records = stored(linked_records(df, item_id, address), "p1-records")
-    groups = records.groupBy("component").agg(F.min("item_id").alias("group_id"), F.count("*").alias("_n")).where("_n > 1")
-    return records.join(groups, "component").select("item_id", "group_id")
-
-
 def anneal(sizes: np.ndarray, targets: np.ndarray, start: np.ndarray, seed: int, steps: int) -> tuple[np.ndarray, float]:
     """Splits of components by annealed moves and swaps, and the deviation of the best assignment seen.
 
@@ -59,53 +52,58 @@ def anneal(sizes: np.ndarray, targets: np.ndarray, start: np.ndarray, seed: int,
     scale = 1.0 / np.maximum(targets.sum(axis=0), 1.0)
     got = np.zeros_like(targets)
     np.add.at(got, start, sizes)
-    off = (got - targets) * scale
-    weight = np.full(sizes.shape[1], 0.25)
-    weight[0] = 1.0
-    rel = sizes * scale
-    at = start.copy()
-    cost = float((off * off * weight).sum())
-    best, best_cost = at.copy(), cost
+    weight = [1.0] + [0.25] * (sizes.shape[1] - 1)
+    off = ((got - targets) * scale).tolist()
+    rel = (sizes * scale).tolist()
+    cost = sum(w * x * x for row in off for w, x in zip(weight, row))
     if n == 0 or splits < 2:
-        return best, best_cost
+        return start.copy(), cost
     # an average component's move sets the first temperature
-    heat = max(float((rel * rel * weight).sum() / n), 1e-18)
-    picks = rng.integers(0, n, size=(steps, 2))
-    to = rng.integers(0, splits, size=steps)
-    luck = rng.random(steps)
-    swap = rng.random(steps) < 0.5
+    heat = max(sum(w * x * x for row in rel for w, x in zip(weight, row)) / n, 1e-18)
+    first, second = rng.integers(0, n, size=(2, steps)).tolist()
+    to, luck, swap = rng.integers(0, splits, size=steps).tolist(), rng.random(steps).tolist(), (rng.random(steps) < 0.5).tolist()
+    at, measures = start.tolist(), range(sizes.shape[1])
+    # what was moved, so that the best assignment is found by going back to it
+    moved: list[tuple[int, int]] = []
+    best_cost, best_at = cost, 0
     for k in range(steps):
-        i, j = picks[k]
-        a = at[i]
-        if swap[k]:
-            b = at[j]
-            shift = rel[i] - rel[j]
-        else:
-            b = to[k]
-            shift = rel[i]
+        i = first[k]
+        a, j = at[i], second[k] if swap[k] else -1
+        b = at[j] if j >= 0 else to[k]
         if a == b:
             continue
+        shift = [x - y for x, y in zip(rel[i], rel[j])] if j >= 0 else rel[i]
         # moving `shift` from a to b
-        change = float((weight * shift * (2 * (off[b] - off[a]) + 2 * shift)).sum())
+        here, there = off[a], off[b]
+        change = 0.0
+        for m in measures:
+            x = shift[m]
+            change += weight[m] * x * (there[m] - here[m] + x)
+        change *= 2
         warm = heat * (1 - k / steps) ** 2
         if change <= 0 or (warm > 0 and luck[k] < math.exp(-change / warm)):
-            off[a] -= shift
-            off[b] += shift
+            for m in measures:
+                here[m] -= shift[m]
+                there[m] += shift[m]
+            moved.append((i, a))
             at[i] = b
-            if swap[k]:
+            if j >= 0:
+                moved.append((j, b))
                 at[j] = a
             cost += change
             if cost < best_cost - 1e-15:
-                best, best_cost = at.copy(), cost
-    return best, best_cost
+                best_cost, best_at = cost, len(moved)
+    for i, was in reversed(moved[best_at:]):
+        at[i] = was
+    return np.array(at, dtype=start.dtype), best_cost
 
 
-def assign_splits(components: DataFrame, measures: list[str], fractions: tuple[float, ...] = (0.9, 0.05, 0.05), seed: int = 7, replicas: int = 4, steps: int = 12_000) -> DataFrame:
+def assign_splits(components: DataFrame, measures: list[str], fractions: tuple[float, ...] = (0.9, 0.05, 0.05), seed: int = 7, replicas: int = 4, steps: int = 4) -> DataFrame:
     """(component, split) of every row of ``components`` (component, then the ``measures``, the size first).
 
     Method: component swap search. Every bucket of at most about BUCKET components starts from the hashed
-    assignment and is annealed by several replicas in parallel, each with its own seed; the best replica of a
-    bucket is kept. Since every bucket nears the proportions, so does the whole. Heavy components, of which
+    assignment and is annealed by several replicas in parallel, each with its own seed and ``steps`` proposals a
+    component (2,000 at least); the best replica of a bucket is kept. Since every bucket nears the proportions, so does the whole. Heavy components, of which
     there are at most 1 / HEAVY_SHARE, are placed first by the same search, and the rest aims at what they leave.
     Fractions that do not sum to 1 are scaled. An empty table gives an empty result.
     """
@@ -126,7 +124,7 @@ def assign_splits(components: DataFrame, measures: list[str], fractions: tuple[f
             sizes = pdf[measures].to_numpy(dtype=float)
             u = pd.util.hash_pandas_object(pdf["component"], index=False).to_numpy() / 2.0**64
             start = np.searchsorted(np.array(bounds), u, side="right")
-            at, cost = anneal(sizes, goal_of(sizes.sum(axis=0)), start, seed * 1000 + int(key[1]), min(steps, 40 * len(sizes) + 200))
+            at, cost = anneal(sizes, goal_of(sizes.sum(axis=0)), start, seed * 1000 + int(key[1]), max(2000, steps * len(sizes)))
             return pd.DataFrame({"component": pdf["component"], "_bucket": key[0], "_replica": key[1], "_split": at.astype("int32"), "_cost": cost})
 
         found = tries.groupBy("_bucket", "_replica").applyInPandas(run, "component string, _bucket int, _replica int, _split int, _cost double")
@@ -148,9 +146,9 @@ def split_records(df: DataFrame, fractions: tuple[float, ...] = (0.9, 0.05, 0.05
     """(item_id, component, split, label) of every record and (component, split) of every component.
 
     A record that nothing links is a component of its own. Labels are the three known models, trimmed and in
-    lower case, and ``other`` for the rest and for null.
+    lower case, and ``other`` for the rest, for null, and for all where there is no such column.
     """
-    plain = F.lower(F.trim(F.col(label)))
+    plain = F.lower(F.trim(F.col(label))) if label in df.columns else F.lit(None).cast("string")
     labelled = df.where(F.col(item_id).isNotNull()).groupBy(F.col(item_id).alias("item_id")).agg(F.min(F.when(plain.isin("demucs", "melband", "none"), plain).otherwise(F.lit("other"))).alias("label"))
     records = labelled.join(linked_records(df, item_id, address), "item_id", "left").select("item_id", "label", F.coalesce("component", F.concat(F.lit("i:"), F.col("item_id"))).alias("component"))
     records = stored(records, "p1-labelled")
@@ -158,3 +156,12 @@ def split_records(df: DataFrame, fractions: tuple[float, ...] = (0.9, 0.05, 0.05
     components = records.groupBy("component").agg(F.count("*").alias("size"), *[F.count_if(F.col("label") == k).alias(f"label_{k}") for k in kinds])
     splits = stored(assign_splits(stored(components, "p1-components"), ["size", *[f"label_{k}" for k in kinds]], fractions, seed), "p1-splits")
     return records.join(splits, "component").select("item_id", "component", "split", "label"), splits
+
+
+def video_groups(df: DataFrame, item_id: str = "item_id", address: str = "source_url", label: str = "separation_model") -> DataFrame:
+    """(item_id, group_id, split) of the records whose video has at least two ids, as the split search placed them;
+    group_id is the smallest of the ids."""
+    records, _ = split_records(df, item_id=item_id, address=address, label=label)
+    records = stored(records, "p1-records")
+    groups = records.groupBy("component", "split").agg(F.min("item_id").alias("group_id"), F.count("*").alias("_n")).where("_n > 1")
+    return records.join(groups, ["component", "split"]).select("item_id", "group_id", "split")

@@ -8,9 +8,14 @@ COLUMNS = "record_no bigint, batch_no int, item_id string, source_url string"
 
 
 def brute(history, batches):
-    """Records whose video, by chains of shared keys, was seen before; and repeats inside a batch."""
-    from phonoloom.llm.identity import HOSTS  # noqa: F401  (the keys are made by the same module in Spark)
+    """Batch by batch: records whose video, by chains of keys shared so far, was seen before; and repeats inside a batch."""
+    out = set()
+    for b in sorted({r[1] for r in batches}):
+        out |= {no for no in whole(history, [r for r in batches if r[1] <= b]) if no in {r[0] for r in batches if r[1] == b}}
+    return out
 
+
+def whole(history, batches):
     parent = {}
 
     def find(x):
@@ -51,7 +56,7 @@ def keyed(spark, rows):
     return [(r["record_no"], r["batch_no"], [k for k in (r["id_key"], r["address_key"]) if k], r["segment"]) for r in df]
 
 
-def test_backlog_against_brute_force(spark, tmp_path):
+def test_batches_against_brute_force(spark, tmp_path):
     rng = np.random.default_rng(5)
     old, new = made(rng, 40, 0, [0]), made(rng, 150, 1000, [1, 2, 3])
     h = I.start_history(spark, f"file://{tmp_path}/h", spark.createDataFrame(old, COLUMNS))
@@ -60,26 +65,37 @@ def test_backlog_against_brute_force(spark, tmp_path):
     assert got == brute(history, keyed(spark, new))
 
 
-def test_one_batch_after_another(spark, tmp_path):
-    """Without links that only a later batch tells of, batch by batch gives what the backlog gives."""
+def test_a_batch_taken_in_again_changes_nothing(spark, tmp_path):
     rng = np.random.default_rng(6)
-    old = [r for r in made(rng, 60, 0, [0]) if r[3] is None or "vt." not in r[3]]
-    new = sorted([r for r in made(rng, 120, 1000, [1, 2, 3]) if r[3] is None or "vt." not in r[3]], key=lambda r: r[1])
-    whole = I.start_history(spark, f"file://{tmp_path}/a", spark.createDataFrame(old, COLUMNS))
-    want = {r[0] for r in I.repeated_records(whole, spark.createDataFrame(new, COLUMNS)).collect()}
-    step = I.start_history(spark, f"file://{tmp_path}/b", spark.createDataFrame(old, COLUMNS))
-    got = set()
-    for b in (1, 2, 3):
-        got |= {r[0] for r in I.repeated_records(step, spark.createDataFrame([r for r in new if r[1] == b], COLUMNS)).collect()}
-    assert got == want
-    assert step.chunks.count() == whole.chunks.count()
+    old, new = made(rng, 40, 0, [0]), made(rng, 80, 1000, [1, 2])
+    h = I.start_history(spark, f"file://{tmp_path}/h", spark.createDataFrame(old, COLUMNS))
+    df = spark.createDataFrame(new, COLUMNS)
+    first = sorted(r[0] for r in I.repeated_records(h, df.where("batch_no = 1")).collect())
+    # a run that failed before its commit leaves folders behind
+    (tmp_path / "h" / "chunks" / "batch=2").mkdir()
+    size = h.contents(h.commits()).count()
+    assert sorted(r[0] for r in I.repeated_records(h, df.where("batch_no = 1")).collect()) == first and h.contents(h.commits()).count() == size
+    both = sorted(r[0] for r in I.repeated_records(h, df).collect())
+    assert sorted(r[0] for r in I.repeated_records(h, df).collect()) == both and list(h.commits()) == [0, 1, 2]
+    assert set(both) == brute([(None, b, k, s) for _, b, k, s in keyed(spark, old)], keyed(spark, new))
+
+
+def test_lines_are_cut_and_most_of_one_is_not_all(spark):
+    line, near = "tt:7123456789012345678", "tt:7123456789012345679"
+    df = lambda *x: spark.createDataFrame([(v,) for v in x], "content string")
+    chunks = I.content_chunks(df(line), **I.LINE_CUT)
+    assert chunks.count() > 1
+    long, other = "a:host.example/" + "0123456789abcdef" * 6, "a:host.example/" + "0123456789abcdef" * 6 + "/x"
+    got = {(r["content"], r["match"]) for r in I.covered(I.content_chunks(df(line, long), **I.LINE_CUT), I.content_chunks(df(line, near, other), **I.LINE_CUT), I.LINE_COVERAGE).collect()}
+    assert (line, line) in got and (long, other) in got and (line, other) not in got
 
 
 def test_nothing_in_nothing(spark, tmp_path):
     none = spark.createDataFrame([], COLUMNS)
     h = I.start_history(spark, f"file://{tmp_path}/h", none)
+    assert list(h.commits()) == [0]
     assert I.repeated_records(h, none).count() == 0
-    two = spark.createDataFrame([(1, 1, None, None), (2, 1, None, None), (3, 1, "tt_" + "7" * 19, None), (4, 1, "tt_" + "7" * 19, None)], COLUMNS)
+    two = spark.createDataFrame([(1, 1, None, None), (2, 1, None, None), (3, 1, "tt_" + "7" * 19, None), (4, 1, "tt_" + "7" * 19, None), (5, None, "tt_" + "7" * 19, None)], COLUMNS)
     assert [r[0] for r in I.repeated_records(h, two).collect()] == [4]
 
 
