@@ -83,7 +83,7 @@ def p5_check(spark: SparkSession, sf: str) -> DataFrame:
     return scored.agg(
         F.count("*").alias("records"),
         F.count_if(~F.col("score").between(0, 1) | (F.greatest("p_abusive", "p_hateful", "p_sexual") > F.col("score") + 1e-6)).alias("outside"),
-        F.count_if((F.col("score") >= toxicity.CUT) != F.col("kind").isNotNull()).alias("contradicting"),
+        F.count_if(((F.col("score") >= toxicity.CUT) & F.col("kind").isNull()) | ((F.col("score") < toxicity.SHORT_CUT) & F.col("kind").isNotNull())).alias("contradicting"),
         F.count_if(F.col("kind").isNotNull() & (F.size("spans") == 0)).alias("without_span"),
     )
 

@@ -20,8 +20,9 @@ from phonoloom.plans.cluster import spread
 LABELS = ["O", "abusive", "hateful", "sexual"]
 #: Labelled transcripts that training reads at most, in the order of label_id.
 SAMPLE = 20_000
-#: A document offends if so many tokens in a row do, on average, with at least this probability.
-SPAN, CUT = 4, 0.6
+#: A document offends if so many tokens in a row do, on average, with at least this probability; one of fewer tokens, which
+#: has no context that could speak against it, with the lower one.
+SPAN, CUT, SHORT_CUT = 4, 0.95, 0.5
 
 _L = r"[^\W\d_]"
 #: Letters spelled one by one, words with stars inside, words, other signs.
@@ -146,7 +147,7 @@ def train(rows: list[tuple[str, str]], scores: NgramScores, seed: int = 5) -> Cr
     known: dict[str, str] = {}
     labelled = span_labels([(canonical_text(x, scores, known), y) for x, y in rows if x and y in ("clean", *LABELS[1:])])
     rng = random.Random(seed)
-    places = sorted({m.strip() for x, _ in rows if x for m in _PLACE.findall(x)} | {"Bến Sậy", "Láng Dừa"})
+    places = sorted({m.strip() for x, _ in rows if x for m in _PLACE.findall(x)} | {"An Phú", "Gò Công"})
     own = extra_labels(places)
     calm = [(w[a:b], t[a:b]) for w, t in labelled if not any(t) for a, b in _sentences(w)]
     joined = []
@@ -200,7 +201,7 @@ def score(df: DataFrame, labels: DataFrame, key: str = "item_id", text: str = "t
 
     Method: token marginals of the field (forward-backward); a document's score is the largest mean probability of
     SPAN tokens in a row to offend in any way, the p of a kind the same for that kind; ``kind`` is the largest of
-    these where the score reaches CUT, else null. Spans are half-open code points of the text in its consistent
+    these where the score reaches CUT (SHORT_CUT for fewer than SPAN tokens), else null. Spans are half-open code points of the text in its consistent
     form (:func:`lookalike.canonical_text`). Null and empty texts score 0 and have no spans. Whole texts are read.
     """
     model, scores = trained(labels, sample)
@@ -224,9 +225,10 @@ def score(df: DataFrame, labels: DataFrame, key: str = "item_id", text: str = "t
                 per = [peak(p[:, k]) for k in (1, 2, 3)]
                 best.append(round(s, 6))
                 by_kind.append([round(v, 6) for v in per])
-                kinds.append(LABELS[1 + int(np.argmax(per))] if s >= CUT else None)
+                flagged = s >= (CUT if len(bad) >= SPAN else SHORT_CUT)
+                kinds.append(LABELS[1 + int(np.argmax(per))] if flagged else None)
                 own = []
-                if spans and s >= CUT:
+                if spans and flagged:
                     at, k = list(_TOKEN.finditer(x)), 0
                     while k < len(bad):
                         if bad[k] >= 0.5:

@@ -2,15 +2,16 @@
 
 The transcripts' labels name whole documents and leave out many ways of saying such things; these fill gaps on both
 sides, the harmless ones among them being those that share words with the others. In a sentence that isn't clean every
-token counts as offending. ``{who}``, ``{slur}``, ``{group}``, ``{curse}``, ``{do}``, ``{name}`` and ``{place}`` stand for each of the lists.
+token counts as offending. Their forms were written with transcripts of the project at hand; the lists of doings and
+places are not taken from them. ``{who}``, ``{slur}``, ``{group}``, ``{curse}``, ``{do}``, ``{name}`` and ``{place}`` stand for each of the lists.
 """
 
 WHO = ["mày", "thằng kia", "con kia", "mấy đứa bay", "cả đám tụi bay", "lũ chúng mày", "thằng em mày", "bà già đó", "đứa vừa bình luận", "cái thằng quay phim đó", "ông già kia", "con mụ đó"]
 SLUR = ["ngu", "óc chó", "khốn nạn", "mất dạy", "vô học", "súc vật", "đê tiện", "bẩn thỉu", "rác rưởi", "đần độn", "ăn hại", "não phẳng", "hãm tài", "chó má", "láo toét", "mặt dày", "hèn hạ", "đểu cáng", "khốn kiếp", "n.g.u", "o c c h o", "m*t d*y", "k****n", "l á o t o é t"]
 GROUP = ["bọn nhập cư", "lũ bê đê", "bọn đàn bà", "đám người thiểu số", "dân theo đạo", "dân tỉnh lẻ", "bọn tàn tật", "lũ nhà quê", "bọn da đen", "lũ ngoại đạo", "đám dân tộc"]
 CURSE = ["đm", "đmm", "vcl", "đcm", "cmn", "clgt", "mẹ kiếp", "vãi l", "tiên sư mày", "cút xéo", "chết tiệt", "v.c.l", "đ m"]
-DO = ["đo đạc mái nhà kho", "khoe cái quạt máy", "sửa lại chuồng gà", "dọn dẹp sân bóng", "bàn giao bao lúa giống", "trông coi máy bơm", "chụp hình bức ảnh cưới", "đem cho mượn bài kiểm tra", "cất kỹ bình gốm", "gói ghém hồ sơ vay vốn", "đặt mua chậu lan", "kiểm tra đường ống nước", "rửa sạch cuốn sổ tay", "sơn lại cây cầu gỗ", "đánh dấu tủ thuốc"]
-PLACE = ["thôn Láng Dừa", "xã Bến Sậy", "chợ Suối Cát", "khu phố Đèo Sương", "ấp Mũi Ốc", "phường Hòn Chuối", "thị trấn Vàm Mắm", "bến Ao Vải"]
+DO = ["sửa xe đạp", "khoe áo mới", "dọn nhà kho", "lau bàn gỗ", "bán rau", "nuôi cá", "chụp ảnh cưới", "cho mượn cái thang", "kể về chuyến đi", "hát karaoke", "giữ sổ sách", "trồng cây cảnh", "vá lưới", "chở hàng ra chợ", "tập thể dục"]
+PLACE = ["thôn An Phú", "xã Tân Bình", "chợ Gò Công", "khu phố Hòa Lạc", "ấp Cầu Kè", "phường Phú Mỹ", "thị trấn Núi Thành", "bến Vàm Cỏ"]
 
 SENTENCES = [
     ("abusive", "Nghe giọng {who} tao chỉ muốn tát cho một phát, {curse}."),
@@ -34,6 +35,13 @@ SENTENCES = [
     ("abusive", "Shut up you stupid moron, nobody wants you here."),
     ("abusive", "Tao đập nát mặt {who} ra bây giờ, đồ {slur}."),
     ("abusive", "Đồ {slur}, cút khỏi mắt tao."),
+    ("abusive", "Đồ {slur}."),
+    ("abusive", "Đồ {slur}!"),
+    ("abusive", "Đồ {slur}"),
+    ("abusive", "{who} {slur}"),
+    ("abusive", "Thứ {slur}, {curse}."),
+    ("clean", "Cảm ơn."),
+    ("clean", "Rồi, đồ ăn ngon lắm."),
     ("abusive", "{who} mà còn mở miệng là tao vả gãy răng."),
     ("hateful", "Phải dẹp sạch {group} đi, để chúng đẻ nữa là {place} tiêu."),
     ("hateful", "Hồi xưa {place} yên lành, từ ngày có {group} thì bẩn như chuồng lợn."),

@@ -77,6 +77,7 @@ def test_held_out_offence():
         n += label != "clean"
         hit += found and label != "clean"
         wrong += found and label == "clean"
+    print("held out:", hit, n, wrong)
     assert hit / n > 0.93 and wrong < 0.08 * n
 
 
