@@ -106,8 +106,8 @@ class ChunkHistory:
     """What has been accepted so far, below ``path``: a folder a batch with its new lines (contents), their chunks by
     bucket, and how labels were merged up to then; a batch counts once its commit is written.
 
-    A batch that is taken in again, after a failure or by mistake, replaces its own folders before its commit and
-    changes nothing after it; either way its result is that against the batches below it.
+    Batches that are taken in again, after a failure or by mistake, replace their own folders before their commit and
+    change nothing after it; either way their result is that against the batches below them.
     """
 
     CHUNKS, CONTENTS, MERGES = "chunk bigint, content bigint, n_bytes int", "content bigint, line string, label string", "label string, into string"
@@ -154,37 +154,40 @@ class ChunkHistory:
         row = self.spark.range(1, numPartitions=1).select(F.lit(batch).cast("int").alias("batch"), F.lit(merges).cast("int").alias("merges"))
         row.write.mode("overwrite").json(f"{self.path}/commits/batch={batch}")
 
-    def ingest(self, batch: int, keyed: DataFrame) -> DataFrame:
-        """Takes in the keys (id_key, address_key) of a batch's records; gives (line, video, seen) for every line they
-        name: the label of its video as of now, and whether a lower batch knows the video.
+    def ingest(self, numbers: list[int], keyed: DataFrame) -> DataFrame:
+        """Takes in the keys (id_key, address_key, batch_no) of the records of batches ``numbers``, as one step; gives
+        (line, video, first_batch) for every line they name: the label of its video as of now, and the lowest batch that
+        knows the video, which is below all ``numbers`` where the history does.
 
-        A video is known through any chain of links that this batch or a lower one tells of.
+        A video is known through any chain of links that these batches or lower ones tell of.
         """
+        last = max(numbers)
         every = self.commits()
-        commits = {b: m for b, m in every.items() if b < batch}
-        pairs = keyed.select("id_key", "address_key").distinct()
-        lines = pairs.select(F.explode(F.array("id_key", "address_key")).alias("line")).where("line is not null").distinct().withColumn("content", F.xxhash64("line"))
+        commits = {b: m for b, m in every.items() if b < min(numbers)}
+        pairs = keyed.groupBy("id_key", "address_key").agg(F.min("batch_no").alias("batch_no"))
+        lines = pairs.select(F.explode(F.array("id_key", "address_key")).alias("line"), "batch_no").where("line is not null").groupBy("line").agg(F.min("batch_no").alias("batch_no")).withColumn("content", F.xxhash64("line"))
         chunks = stored(content_chunks(lines, "content", "line", **LINE_CUT), "p3-chunks")
         near = covered(chunks, self.chunks(commits, chunks), LINE_COVERAGE)
         old = self.contents(commits).select(F.col("content").alias("match"), F.col("line").alias("_line"), "label")
         exact = near.join(old, "match").join(lines, "content").where("line = _line")  # coverage says most bytes agree; this, all of them
         known = exact.select("line", "label").join(self.merges(commits), "label", "left").select("line", F.coalesce("into", "label").alias("label"))
-        # the batch's graph: old labels and new lines
-        node = lines.join(known, "line", "left").select("line", "content", F.coalesce("label", "line").alias("node"), F.col("label").isNotNull().alias("old"))
+        # the graph of these batches: old labels and new lines
+        first = F.when(F.col("label").isNotNull(), F.lit(min(numbers) - 1)).otherwise(F.col("batch_no"))
+        node = lines.join(known, "line", "left").select("line", "content", F.coalesce("label", "line").alias("node"), F.col("label").isNotNull().alias("old"), first.alias("first_batch"))
         node = stored(node, "p3-nodes")
         at = lambda c: node.select(F.col("line").alias(c), F.col("node").alias(f"_{c}"))
         edges = pairs.where("id_key <> address_key").join(at("id_key"), "id_key").join(at("address_key"), "address_key")
         labels = connected_components(edges.where("_id_key <> _address_key"), "_id_key", "_address_key")
         joined = node.join(labels, "node", "left").withColumn("video", F.coalesce("component", "node")).drop("component")
-        seen = joined.groupBy("video").agg(F.bool_or("old").alias("seen"))
-        result = stored(joined.join(seen, "video").select("line", "content", "node", "old", "video", "seen"), "p3-result")
-        if batch not in every:
+        lowest = joined.groupBy("video").agg(F.min("first_batch").alias("first_batch"))
+        result = stored(joined.drop("first_batch").join(lowest, "video").select("line", "content", "node", "old", "video", "first_batch"), "p3-result")
+        if last not in every:
             fresh = result.where("not old").select("content", "line", F.col("video").alias("label"))
-            fresh.write.mode("overwrite").parquet(f"{self.path}/contents/batch={batch}")
+            fresh.write.mode("overwrite").parquet(f"{self.path}/contents/batch={last}")
             new = chunks.join(fresh, "content", "left_semi").select("chunk", "content", "n_bytes", self._bucket())
-            new.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/chunks/batch={batch}")
-            self.commit(batch, self._merge(batch, commits, result))
-        return result.select("line", "video", "seen")
+            new.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/chunks/batch={last}")
+            self.commit(last, self._merge(last, commits, result))
+        return result.select("line", "video", "first_batch")
 
     def _merge(self, batch: int, commits: dict[int, int], result: DataFrame) -> int | None:
         """Writes the table of merges anew if the batch has merged any; the batch that has the current one."""
@@ -200,20 +203,21 @@ def repeated_records(history: ChunkHistory, batches: DataFrame, number: str = "r
     """(number) of the records that bring nothing new: their video is in the history or a lower batch, or a lower
     number of their batch has the same video and segment (no segment number equals no segment number).
 
-    Batches are taken in one after another in the order of their numbers, each against what its predecessors left in
-    the history. Records that name no video are new; records without a batch number have no place in the order and no
-    row. Records are taken into the history whether or not they repeat one: repeating says nothing new, so nothing is
-    appended for them. An empty table gives an empty result.
+    The batches at hand are taken in as one step against what was left in the history; a batch that comes alone is
+    looked up in the chunks of all before it. Links count when a batch tells of them, so that in a backlog a later batch
+    may show that two earlier records are of one video. Records that name no video are new; records without a batch
+    number have no place in the order and no row. Records are taken into the history whether or not they repeat one:
+    repeating says nothing new, so nothing is appended for them. An empty table gives an empty result.
     """
     keyed = with_video_keys(batches.where(F.col(batch).isNotNull()).select(F.col(number).alias("_no"), F.col(batch).cast("int").alias("batch_no"), "item_id", "source_url"))
     keyed = stored(keyed.select("_no", "batch_no", "id_key", "address_key", "segment"), "p3-keyed").where("id_key is not null or address_key is not null")
-    known = keyed.select("batch_no", F.col("id_key").alias("line"), F.col("id_key").alias("video"), F.lit(False).alias("seen")).limit(0)
-    for (no,) in sorted(keyed.select("batch_no").distinct().collect()):  # one row a batch
-        known = known.unionByName(history.ingest(no, keyed.where(F.col("batch_no") == no)).withColumn("batch_no", F.lit(no)))
-    at = keyed.withColumn("line", F.coalesce("id_key", "address_key")).join(known, ["batch_no", "line"])
+    numbers = [r[0] for r in keyed.select("batch_no").distinct().collect()]  # one row a batch
+    if not numbers:
+        return keyed.select(F.col("_no").alias(number)).limit(0)
+    at = keyed.withColumn("line", F.coalesce("id_key", "address_key")).join(history.ingest(numbers, keyed), "line")
     lowest = at.groupBy("batch_no", "video", "segment").agg(F.min("_no").alias("_lowest"))
     same = (F.col("a.batch_no") == F.col("l.batch_no")) & (F.col("a.video") == F.col("l.video")) & F.col("a.segment").eqNullSafe(F.col("l.segment"))
-    return at.alias("a").join(lowest.alias("l"), same).where("a.seen or l._lowest < a._no").select(F.col("a._no").alias(number))
+    return at.alias("a").join(lowest.alias("l"), same).where("a.first_batch < a.batch_no or l._lowest < a._no").select(F.col("a._no").alias(number))
 
 
 def start_history(spark: SparkSession, path: str, accepted: DataFrame) -> ChunkHistory:
@@ -222,5 +226,5 @@ def start_history(spark: SparkSession, path: str, accepted: DataFrame) -> ChunkH
     keyed = with_video_keys(accepted.select("item_id", "source_url")).select("id_key", "address_key")
     # parsed once: a filter on parsed columns would be planned below the projection and parse again
     keyed = stored(keyed.distinct(), "p3-history").where("id_key is not null or address_key is not null")
-    history.ingest(0, keyed)
+    history.ingest([0], keyed.withColumn("batch_no", F.lit(0)))
     return history

@@ -56,7 +56,7 @@ def _p2(groups: list[str]) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    """The twelve batches one after another against a history of chunks that metadata began."""
+    """The batches, as a backlog, against a history of chunks that metadata began."""
     history = incremental.start_history(spark, own_dir(spark, "history"), table(spark, sf, "metadata"))
     return incremental.repeated_records(history, table(spark, sf, "metadata_incoming"))
 

@@ -57,12 +57,16 @@ def keyed(spark, rows):
 
 
 def test_batches_against_brute_force(spark, tmp_path):
+    """A backlog at once, and batches that come one by one: each looked up in what those before left."""
     rng = np.random.default_rng(5)
     old, new = made(rng, 40, 0, [0]), made(rng, 150, 1000, [1, 2, 3])
-    h = I.start_history(spark, f"file://{tmp_path}/h", spark.createDataFrame(old, COLUMNS))
-    got = {r[0] for r in I.repeated_records(h, spark.createDataFrame([(*r, "c") for r in new], COLUMNS + ", content string")).collect()}
-    history = [(None, b, k, s) for _, b, k, s in keyed(spark, old)]
-    assert got == brute(history, keyed(spark, new))
+    df = spark.createDataFrame([(*r, "c") for r in new], COLUMNS + ", content string")
+    history, batches = [(None, b, k, s) for _, b, k, s in keyed(spark, old)], keyed(spark, new)
+    got = {r[0] for r in I.repeated_records(I.start_history(spark, f"file://{tmp_path}/a", spark.createDataFrame(old, COLUMNS)), df).collect()}
+    assert got == whole(history, batches)
+    step = I.start_history(spark, f"file://{tmp_path}/b", spark.createDataFrame(old, COLUMNS))
+    got = {r[0] for b in (1, 2, 3) for r in I.repeated_records(step, df.where(F.col("batch_no") == b)).collect()}
+    assert got == brute(history, batches) and list(step.commits()) == [0, 1, 2, 3]
 
 
 def test_a_batch_taken_in_again_changes_nothing(spark, tmp_path):
@@ -70,14 +74,15 @@ def test_a_batch_taken_in_again_changes_nothing(spark, tmp_path):
     old, new = made(rng, 40, 0, [0]), made(rng, 80, 1000, [1, 2])
     h = I.start_history(spark, f"file://{tmp_path}/h", spark.createDataFrame(old, COLUMNS))
     df = spark.createDataFrame(new, COLUMNS)
-    first = sorted(r[0] for r in I.repeated_records(h, df.where("batch_no = 1")).collect())
+    one, two = df.where("batch_no = 1"), df.where("batch_no = 2")
+    first = sorted(r[0] for r in I.repeated_records(h, one).collect())
     # a run that failed before its commit leaves folders behind
     (tmp_path / "h" / "chunks" / "batch=2").mkdir()
     size = h.contents(h.commits()).count()
-    assert sorted(r[0] for r in I.repeated_records(h, df.where("batch_no = 1")).collect()) == first and h.contents(h.commits()).count() == size
-    both = sorted(r[0] for r in I.repeated_records(h, df).collect())
-    assert sorted(r[0] for r in I.repeated_records(h, df).collect()) == both and list(h.commits()) == [0, 1, 2]
-    assert set(both) == brute([(None, b, k, s) for _, b, k, s in keyed(spark, old)], keyed(spark, new))
+    assert sorted(r[0] for r in I.repeated_records(h, one).collect()) == first and h.contents(h.commits()).count() == size
+    second = sorted(r[0] for r in I.repeated_records(h, two).collect())
+    assert sorted(r[0] for r in I.repeated_records(h, two).collect()) == second and list(h.commits()) == [0, 1, 2]
+    assert {*first, *second} == brute([(None, b, k, s) for _, b, k, s in keyed(spark, old)], keyed(spark, new))
 
 
 def test_lines_are_cut_and_most_of_one_is_not_all(spark):
