@@ -301,7 +301,7 @@ def _clamped(x: str) -> str:
 s AS (SELECT *, 0.0::double AS w1, greatest(0.0::double, d / 2 - 10) AS w2, greatest(0.0::double, d - 20) AS w3 FROM e WHERE d >= 0),
 w AS (SELECT *, w1 AS w0 FROM s UNION ALL SELECT *, w2 FROM s WHERE round_even(w2 * 10, 0) <> 0 UNION ALL SELECT *, w3 FROM s WHERE round_even(w3 * 10, 0) <> 0 AND round_even(w3 * 10, 0) <> round_even(w2 * 10, 0)),
 p AS (SELECT item_id, w0, CASE WHEN least(20.0::double, d - w0) < 2 THEN 0.0::double ELSE 0.5 * {_clamped('(h - 0.25) / 0.20')} + 0.3 * {_clamped('(c + w0 / 10 - 10) / 10')} + 0.2 * {_clamped('(0.015 - f) / 0.015')} END AS p FROM w)
-SELECT item_id, count(*) AS windows, round(max(p), 4) AS music_prob, max(p) >= 0.30 AS is_music FROM p GROUP BY item_id"""
+SELECT item_id, count(*) AS windows, round(max(p), 8) AS music_prob, max(p) >= 0.30 AS is_music FROM p GROUP BY item_id"""
 )
 def music_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Measures by rule from the record's columns; later windows have more contrast."""
@@ -309,7 +309,7 @@ def music_windows(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "metadata_extended").where("item_id is not null").select("item_id", d.alias("d"), F.coalesce(_known("music_prob"), zero).alias("h"), F.coalesce(_known("snr_db"), zero).alias("c"), (0.03 * F.coalesce(_known("speech_ratio"), zero)).alias("f")).distinct()
     each = rows.withColumn("at", F.explode(scores.music_windows(F.col("d"))))
     p = scores.music_window(F.col("h"), F.col("c") + F.col("at") / 10, F.col("f"), F.least(F.lit(20.0), F.col("d") - F.col("at")))
-    return each.groupBy("item_id").agg(F.count("*").alias("windows"), F.max(p).alias("_p")).select("item_id", "windows", F.round("_p", 4).alias("music_prob"), (F.col("_p") >= 0.30).alias("is_music"))
+    return each.groupBy("item_id").agg(F.count("*").alias("windows"), F.max(p).alias("_p")).select("item_id", "windows", F.round("_p", 8).alias("music_prob"), (F.col("_p") >= 0.30).alias("is_music"))
 
 
 _FEATURES = "f AS (SELECT vec_id, abs(embedding[1]::double) * 4 AS h, 10 + abs(embedding[2]::double) * 40 AS c, abs(embedding[3]::double) / 10 AS f, abs(embedding[4]::double) AS z, 1 + abs(embedding[5]::double) * 20 AS s FROM embeddings)"
